@@ -1,0 +1,49 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from vigil.session import local_session
+
+    s = local_session(cores="*", shuffle_partitions=8, app="vigil-tests")
+    yield s
+    s.stop()
+
+
+# Two site rows (one of them deliberately incomplete) and the
+# site completeness rules they are checked against.
+SITE_COLUMNS = [
+    "site_id", "site_name", "longitude", "latitude", "regional", "nsa_name", "rtpo_name",
+    "address", "sitetype_name", "sitetype_code", "last_sync",
+]
+SITE_ROWS = [
+    ("ABC123", "Site A", 100.5, -5.2, "REGIONAL 1", "NSA 1", "RTPO 1", "Some Address", "PERMANENT", "PERMANENT", "2024-03-09"),
+    ("XYZ456", None, 150.0, -20.0, "REGIONAL 2", "NSA 2", "RTPO 2", None, "STO", "STO", "2024-03-08"),
+]
+SITE_RULES = {
+    "site_id": "(site_id IS NOT NULL AND site_id RLIKE '([A-Z]{3})([0-9]{3})')",
+    "site_name": "site_name IS NOT NULL",
+    "longitude": "longitude BETWEEN 94 AND 142",
+    "latitude": "latitude BETWEEN -12 AND 7",
+    "regional": "regional LIKE 'REGIONAL%'",
+    "nsa_name": "nsa_name IS NOT NULL",
+    "rtpo_name": "rtpo_name IS NOT NULL",
+    "address": "address IS NOT NULL",
+    "sitetype_name": "sitetype_name IS NOT NULL",
+    "sitetype_code": "sitetype_code IN ('PERMANENT', 'STO', 'TTC', 'WAREHOUSE', 'COMBAT', 'LANDRURAL')",
+}
+
+
+@pytest.fixture(scope="session")
+def sites(spark):
+    return spark.createDataFrame(SITE_ROWS, SITE_COLUMNS)

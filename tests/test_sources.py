@@ -1,0 +1,41 @@
+from vigil.sources import jdbc
+from vigil.sources.sinks import accuracy_table, shared_dir, stage
+from vigil.sources.tables import PathTables
+from vigil.plans.catalog import TableRef
+from tests.conftest import SF_SMALL
+
+
+def test_reader_options_from_catalog_and_caller():
+    opts = jdbc.reader_options(
+        url="jdbc:mysql://db:3306/ods",
+        table="chrono",
+        properties={"user": "u", "password": "p", "driver": "com.mysql.cj.jdbc.Driver"},
+        catalog_options={"type": "mariadb", "credentials_key": "k", "read_conf": {"options": {"fetch_size": 1000}}},
+        partition_column="ci",
+        lower_bound=0,
+        upper_bound=99999,
+        num_partitions=64,
+    )
+    assert opts["fetchsize"] == "1000"
+    assert (opts["partitionColumn"], opts["lowerBound"], opts["upperBound"], opts["numPartitions"]) == (
+        "ci", "0", "99999", "64")
+    assert "type" not in opts and "credentials_key" not in opts
+    assert opts["dbtable"] == "chrono" and opts["user"] == "u"
+
+
+def test_predicates_form_kept_as_list():
+    opts = jdbc.reader_options("jdbc:x", "t", predicates=["lac < 10", "lac >= 10"])
+    assert opts["predicates"] == ["lac < 10", "lac >= 10"]
+
+
+def test_accuracy_table_name():
+    assert accuracy_table("chrono_landing_2g", "chrono_2g") == "df_dqu_accuracy_chrono_landing_2g_to_chrono_2g"
+
+
+def test_path_tables_and_stage(spark):
+    tables = PathTables(spark, SF_SMALL + "/{table}.parquet")
+    region = tables(TableRef("tpch", "region"))
+    assert region.count() == 5
+    assert shared_dir(spark)
+    staged = stage(region, spark, "tpch.region")
+    assert sorted(staged.collect()) == sorted(region.collect())

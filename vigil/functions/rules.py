@@ -62,6 +62,16 @@ def as_rules(rules) -> list[Rule]:
     return out
 
 
+def sql_ident(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_string(text: str) -> str:
+    """A string literal for SQL text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def predicate(rule: Rule | str) -> Column:
     """The rule as a boolean Column (three-valued)."""
     text = rule.predicate if isinstance(rule, Rule) else rule

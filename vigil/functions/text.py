@@ -20,9 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _quote_sql_string(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+from vigil.functions.rules import sql_string
 
 
 def ordered_concat(
@@ -51,7 +49,7 @@ def ordered_concat(
     # 1. global order; the partition index of a row is its slice number.
     sliced = slim.orderBy("_g", *keys).withColumn("_s", F.spark_partition_id())
 
-    sep_sql = _quote_sql_string(sep)
+    sep_sql = sql_string(sep)
     order_sql = ", ".join(keys)
     # 2. one ordered piece per (group, slice).
     pieces = sliced.groupBy("_g", "_s").agg(

@@ -24,6 +24,8 @@ from vigil.functions.rules import (
     as_rules,
     flag,
     null_label,
+    sql_ident,
+    sql_string,
     violated,
     violated_text,
 )
@@ -104,32 +106,32 @@ def completeness_rate(df: DataFrame, rules) -> DataFrame:
     One aggregate for all rules; NULL rate for an empty table.
     """
     rs = as_rules(rules)
-    agg = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(flag(r) == 1).alias(f"_ok{i}") for i, r in enumerate(rs)],
+    agg = df.selectExpr("count(1) AS _n", *[f"count_if({r.predicate}) AS _ok{i}" for i, r in enumerate(rs)])
+    rows = ", ".join(
+        f"named_struct('column', {sql_string(r.name)}, 'rate', CAST(try_divide(_ok{i}, _n) AS DOUBLE))"
+        for i, r in enumerate(rs)
     )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(r.name).alias("column"),
-                F.try_divide(F.col(f"_ok{i}"), F.col("_n")).cast("double").alias("rate"),
-            )
-            for i, r in enumerate(rs)
-        ]
-    )
-    return agg.select(F.inline(rows))
+    return agg.selectExpr(f"inline(array({rows}))")
 
 
 def _failure_items(df: DataFrame, rules: list[Rule], label: str, with_total: bool) -> DataFrame:
-    """(rule, value): one item per violated rule per row, plus a marker row per input row."""
+    """(rule, value): one item per violated rule per row, plus a marker row per input row.
+
+    Written as one SQL expression (one round trip to build, however many
+    rules).  Items of rules that hold are NULL structs and are dropped by a
+    plain filter after the generator - filtering inside the array would need
+    a lambda, which runs outside generated code.
+    """
     items = []
     if with_total:
-        items.append(F.struct(F.lit(_TOTAL).alias("rule"), F.lit(None).cast("string").alias("value")))
+        items.append(f"named_struct('rule', {_TOTAL}, 'value', CAST(NULL AS STRING))")
+    lab = sql_string(label)
     for i, r in enumerate(rules):
         items.append(
-            F.when(violated(r), F.struct(F.lit(i).alias("rule"), null_label(r.target, label).alias("value")))
+            f"CASE WHEN NOT ({r.predicate}) THEN named_struct('rule', {i}, "
+            f"'value', coalesce(CAST({sql_ident(r.target)} AS STRING), {lab})) END"
         )
-    return df.select(F.inline(F.array_compact(F.array(*items))))
+    return df.selectExpr(f"inline(array({', '.join(items)}))").where("rule IS NOT NULL")
 
 
 def _long_profile(df: DataFrame, rules: list[Rule], label: str, with_total: bool) -> DataFrame:
@@ -201,28 +203,15 @@ def scorecard(
     prof = _long_profile(df, rs, label, with_total=True)
 
     # counts: one row (n, bad_0..bad_k-1) -> k rows
-    summary = prof.agg(
-        F.coalesce(F.sum(F.when(F.col("rule") == _TOTAL, F.col("count"))), F.lit(0)).alias("_n"),
-        *[
-            F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("count"))), F.lit(0)).alias(f"_b{i}")
-            for i in range(len(rs))
-        ],
+    summary = prof.selectExpr(
+        f"coalesce(sum(CASE WHEN rule = {_TOTAL} THEN count END), 0) AS _n",
+        *[f"coalesce(sum(CASE WHEN rule = {i} THEN count END), 0) AS _b{i}" for i in range(len(rs))],
     )
-    counts = summary.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("rule"),
-                        F.lit(r.name).alias("column"),
-                        F.col("_n").alias("count_data"),
-                        (F.col("_n") - F.col(f"_b{i}")).alias("count_valid"),
-                    )
-                    for i, r in enumerate(rs)
-                ]
-            )
-        )
+    per_rule = ", ".join(
+        f"named_struct('rule', {i}, 'column', {sql_string(r.name)}, 'count_data', _n, 'count_valid', _n - _b{i})"
+        for i, r in enumerate(rs)
     )
+    counts = summary.selectExpr(f"inline(array({per_rule}))")
 
     if invalid == "json":
         texts, text_col, empty = _json_texts(prof), "data_invalid", "[]"

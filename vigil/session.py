@@ -37,6 +37,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         {
             "spark.sql.shuffle.partitions": str(shuffle_partitions),
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
         },
