@@ -148,3 +148,10 @@ def test_group_count_desc_and_distinct(spark):
     rows = [(r["value"], r["count"]) for r in C.group_count_desc(df, "c").collect()]
     assert rows == [("NULL", 3), ("b", 2), ("a", 1)]
     assert sorted(r["c"] or "" for r in C.distinct_values(df, "c").collect()) == ["", "a", "b"]
+
+
+def test_counts_only_scorecard_matches(sites):
+    full = {r["column"]: tuple(r)[:6] for r in C.scorecard(sites, SITE_RULES, "ods", "sites").collect()}
+    lean = C.scorecard(sites, SITE_RULES, "ods", "sites", invalid=None)
+    assert "data_invalid" not in lean.columns
+    assert {r["column"]: tuple(r) for r in lean.collect()} == full

@@ -183,6 +183,23 @@ def invalid_distinct_values(df: DataFrame, rules, label: str = NULL_LABEL) -> Da
     return card.select("column", "distinct_invalid")
 
 
+def _counts_only(df: DataFrame, rules: list[Rule], database, table) -> DataFrame:
+    agg = df.selectExpr("count(1) AS _n", *[f"count_if(NOT ({r.predicate})) AS _b{i}" for i, r in enumerate(rules)])
+    per_rule = ", ".join(
+        f"named_struct('column', {sql_string(r.name)}, 'count_data', _n, 'count_valid', _n - _b{i})"
+        for i, r in enumerate(rules)
+    )
+    n, good = F.col("count_data"), F.col("count_valid")
+    return agg.selectExpr(f"inline(array({per_rule}))").select(
+        F.lit(database).cast("string").alias("database"),
+        F.lit(table).cast("string").alias("table"),
+        F.col("column"),
+        n.cast("long").alias("count_data"),
+        good.cast("long").alias("count_valid"),
+        _percentage(n, n - good).cast("double").alias("percentage_valid"),
+    )
+
+
 def scorecard(
     df: DataFrame,
     rules,
@@ -195,11 +212,18 @@ def scorecard(
 
     Columns: database, table, column, count_data (long), count_valid (long),
     percentage_valid (double), and ``data_invalid`` (JSON, ``invalid="json"``)
-    or ``distinct_invalid`` (``|``-joined, ``invalid="distinct"``).
+    or ``distinct_invalid`` (``|``-joined, ``invalid="distinct"``), or no text
+    column (``invalid=None``: one ``count_if`` aggregate, no profile at all).
+
+    A rule's text is one cell, so it is bounded by Spark's 2 GB string limit;
+    for columns with billions of distinct failing values use ``invalid=None``
+    together with :func:`invalid_value_profile`.
     """
     rs = as_rules(rules)
-    if invalid not in ("json", "distinct"):
-        raise ValueError("invalid must be 'json' or 'distinct'")
+    if invalid not in ("json", "distinct", None):
+        raise ValueError("invalid must be 'json', 'distinct' or None")
+    if invalid is None:
+        return _counts_only(df, rs, database, table)
     prof = _long_profile(df, rs, label, with_total=True)
 
     # counts: one row (n, bad_0..bad_k-1) -> k rows
