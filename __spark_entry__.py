@@ -93,12 +93,20 @@ def table_b(spark, sf_dir):
     return _read(spark, sf_dir, "orders").selectExpr(*B_COLS)
 
 
-def table_s(spark, sf_dir):
-    return _read(spark, sf_dir, "lineitem").selectExpr(*S_COLS)
+def table_s(spark, sf_dir, lineitem=None):
+    li = lineitem if lineitem is not None else _read(spark, sf_dir, "lineitem")
+    return li.selectExpr(*S_COLS)
 
 
-def table_t(spark, sf_dir):
-    return _read(spark, sf_dir, "lineitem").where(T_WHERE).selectExpr(*T_COLS)
+def table_t(spark, sf_dir, lineitem=None):
+    li = lineitem if lineitem is not None else _read(spark, sf_dir, "lineitem")
+    return li.where(T_WHERE).selectExpr(*T_COLS)
+
+
+def tables_st(spark, sf_dir):
+    """S and T over one read of lineitem (one file listing, one footer read)."""
+    li = _read(spark, sf_dir, "lineitem")
+    return table_s(spark, sf_dir, li), table_t(spark, sf_dir, li)
 
 
 def _order_rules() -> list[Rule]:
@@ -106,12 +114,19 @@ def _order_rules() -> list[Rule]:
 
 
 def _resolver(spark, sf_dir) -> MappedTables:
+    pair = []
+
+    def st():
+        if not pair:
+            pair.extend(tables_st(spark, sf_dir))
+        return pair
+
     return MappedTables(
         {
             "tpch.orders_b": lambda: table_b(spark, sf_dir),
             "tpch.customer": lambda: _read(spark, sf_dir, "customer"),
-            "tpch.lineitem_s": lambda: table_s(spark, sf_dir),
-            "tpch.lineitem_t": lambda: table_t(spark, sf_dir),
+            "tpch.lineitem_s": lambda: st()[0],
+            "tpch.lineitem_t": lambda: st()[1],
         }
     )
 
@@ -151,15 +166,15 @@ def q_timeliness_pct(spark, sf_dir):
 
 
 def q_accuracy_rule_check(spark, sf_dir):
-    return acc.rule_check(table_s(spark, sf_dir), table_t(spark, sf_dir), KEYS, PRICE_MAX)
+    return acc.rule_check(*tables_st(spark, sf_dir), KEYS, PRICE_MAX)
 
 
 def q_accuracy_multi_agg(spark, sf_dir):
-    return acc.reconcile(table_s(spark, sf_dir), table_t(spark, sf_dir), KEYS, [PRICE_MAX, QTY_MAX])
+    return acc.reconcile(*tables_st(spark, sf_dir), KEYS, [PRICE_MAX, QTY_MAX])
 
 
 def q_accuracy_report(spark, sf_dir):
-    return acc.accuracy_report(table_s(spark, sf_dir), table_t(spark, sf_dir), KEYS, [PRICE_MAX, QTY_SUM])
+    return acc.accuracy_report(*tables_st(spark, sf_dir), KEYS, [PRICE_MAX, QTY_SUM])
 
 
 def _catalog_run(spark, sf_dir, *measures):
@@ -250,14 +265,15 @@ def q_group_multi_agg(spark, sf_dir):
 
 
 def q_inner_join_keys(spark, sf_dir):
-    s = acc.side_aggregates(table_s(spark, sf_dir), KEYS, [PRICE_MAX], "source")
-    t = acc.side_aggregates(table_t(spark, sf_dir), KEYS, [PRICE_MAX], "target")
+    s_in, t_in = tables_st(spark, sf_dir)
+    s = acc.side_aggregates(s_in, KEYS, [PRICE_MAX], "source")
+    t = acc.side_aggregates(t_in, KEYS, [PRICE_MAX], "target")
     return s.join(t, ["k1", "k2"], "inner")
 
 
 def q_outer_join_keys(spark, sf_dir):
-    s = table_s(spark, sf_dir)
-    check = acc.rule_check(s, table_t(spark, sf_dir), KEYS, PRICE_MAX)
+    s, t = tables_st(spark, sf_dir)
+    check = acc.rule_check(s, t, KEYS, PRICE_MAX)
     return s.select("k1", "k2").join(check, ["k1", "k2"], "full_outer")
 
 
