@@ -41,7 +41,7 @@ def test_report_golden(sides):
 def test_report_hot_key_path_is_identical(sides):
     s, t = sides
     for hot in (1, 2):
-        rep = A.accuracy_report(s, t, "lac,ci", RULES, hot_key_rows=hot)
+        rep = A.accuracy_report(s, t, "lac,ci", RULES, chunk_rows=hot)
         assert sorted((tuple(r) for r in rep.collect()), key=repr) == EXPECTED
 
 
@@ -79,7 +79,7 @@ def test_report_equals_outer_join_chain(spark):
         {"p": {"source_cols": "price", "target_cols": "price", "aggfunc": "max", "threshold": 0.02},
          "q": {"source_cols": "qty", "target_cols": "qty", "aggfunc": "sum"}}
     )
-    fast = A.accuracy_report(s, t, ["k1", "k2"], rules, hot_key_rows=3)
+    fast = A.accuracy_report(s, t, ["k1", "k2"], rules, chunk_rows=3)
     slow = _chain_form(s, t, ["k1", "k2"], rules).select(*fast.columns)
     assert fast.count() == s.count()
     assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0

@@ -65,7 +65,7 @@ def test_accuracy_report_hot_key_path_reuses_the_aggregates(spark):
     from vigil.operators.accuracy import accuracy_report
 
     s, t = E.table_s(spark, SF_SMALL), E.table_t(spark, SF_SMALL)
-    df = accuracy_report(s, t, E.KEYS, [E.PRICE_MAX, E.QTY_SUM], hot_key_rows=1)
+    df = accuracy_report(s, t, E.KEYS, [E.PRICE_MAX, E.QTY_SUM], chunk_rows=1)
     plan = _final_plan(df)
     assert _scans(plan) == 2, plan
     assert "ReusedExchange" in plan or "ReusedQueryStage" in plan or plan.count("ShuffleQueryStage") >= 2

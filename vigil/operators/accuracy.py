@@ -17,12 +17,14 @@ Plans (all rules at once, never one pass per rule):
   NULL aggregates and checks).  Instead of joining every source row back to
   the per-key results, the source aggregate also counts its rows and each
   per-key result is repeated that many times.  Both sides are therefore read
-  once, the only shuffles are the two map-side-combined aggregates, and the
-  join between them is co-partitioned.  Keys holding more than
-  ``hot_key_rows`` rows are cut into chunks that are spread over
-  ``spark.sql.shuffle.partitions`` tasks before they are expanded, so a key
-  with a third of the table does not make one task write a third of the
-  report.
+  once, the shuffles are the two map-side-combined aggregates (the join
+  between them is co-partitioned) and one of per-key rows.  That last one
+  bounds the output of every task: each key is cut into chunks of at most
+  ``chunk_rows`` rows, and the chunks are hashed over an explicit
+  ``spark.sql.shuffle.partitions`` tasks before they are expanded.  A key
+  holding a third of the table is spread like any other, and AQE, which sizes
+  partitions by their (small) input, cannot merge the expansion into a few
+  tasks that would each write a large share of the report.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ from pyspark.sql import types as T
 #: Aggregates a rule may name.
 AGGREGATES = {"max": F.max, "sum": F.sum}
 
-#: Default row count above which a key's report rows are generated in chunks.
-HOT_KEY_ROWS = 100_000
+#: Largest number of report rows generated from one per-key row in one step.
+CHUNK_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -193,7 +195,7 @@ def accuracy_report(
     target: DataFrame,
     keys,
     rules,
-    hot_key_rows: int = HOT_KEY_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """One row per source row: keys, then per rule (source agg, target agg, check).
 
@@ -204,8 +206,8 @@ def accuracy_report(
     keys = parse_keys(keys)
     rules = as_accuracy_rules(rules)
     _validate(source, target, keys, rules, [r.check_alias for r in rules])
-    if hot_key_rows < 1:
-        raise ValueError("hot_key_rows must be positive")
+    if chunk_rows < 1:
+        raise ValueError("chunk_rows must be positive")
 
     s = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[r.source_agg() for r in rules]).alias("s")
     t = (
@@ -226,22 +228,17 @@ def accuracy_report(
     per_key = joined.select(*out, F.col("s._rows").alias("_rows"))
     names = [c for c in per_key.columns if c != "_rows"]
 
-    rows = F.col("_rows")
-    ordinary = per_key.where(rows <= hot_key_rows).select(
-        *names, F.explode(F.array_repeat(F.lit(0), rows.cast("int"))).alias("_r")
-    )
+    # per key: ceil(rows / chunk_rows) chunks; the chunks are spread over an
+    # explicit number of tasks (AQE does not coalesce an explicit count), then
+    # each chunk is expanded to its rows.
+    rows, chunk = F.col("_rows"), F.col("_chunk")
     parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunk = F.col("_chunk")
-    hot = (
-        per_key.where(rows > hot_key_rows)
-        .select(*names, rows, F.explode(F.sequence(F.lit(0), F.ceil(rows / hot_key_rows) - 1)).alias("_chunk"))
-        # an explicit partition count: AQE must not coalesce these tiny rows back into one task
+    return (
+        per_key.select(*names, rows, F.explode(F.sequence(F.lit(0), F.ceil(rows / chunk_rows) - 1)).alias("_chunk"))
         .repartition(parts, *keys, "_chunk")
         .select(
             *names,
-            F.explode(
-                F.array_repeat(F.lit(0), F.least(F.lit(hot_key_rows), rows - chunk * hot_key_rows).cast("int"))
-            ).alias("_r"),
+            F.explode(F.array_repeat(F.lit(0), F.least(F.lit(chunk_rows), rows - chunk * chunk_rows).cast("int"))).alias("_r"),
         )
+        .drop("_r")
     )
-    return ordinary.unionByName(hot).drop("_r")
