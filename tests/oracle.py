@@ -31,11 +31,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.10g}")
+        return v if STRICT else float(f"{v:.10g}")
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
@@ -47,6 +50,13 @@ def _rows(cols, rows):
     return sorted(out, key=repr)
 
 
+#: Spark type -> DuckDB type of the same values.
+_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "float": "FLOAT",
+}
+
+
 def compare(spark, con, sf_dir: str, key: str, query, sql: str) -> tuple[bool, str]:
     df = query(spark, sf_dir)
     s_cols = df.columns
@@ -56,6 +66,10 @@ def compare(spark, con, sf_dir: str, key: str, query, sql: str) -> tuple[bool, s
     d_rows = rel.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={sorted(s_cols)} duckdb={sorted(d_cols)}"
+    s_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    d_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
+    if s_types != d_types:
+        return False, f"types differ: spark={s_types} duckdb={d_types}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} duckdb={len(d_rows)}"
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
