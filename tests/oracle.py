@@ -86,7 +86,14 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:] or list(E.queries())
-    spark = local_session()
+    if os.environ.get("ORACLE_PLAIN_SESSION") == "1":
+        # a session with Spark's defaults only (200 shuffle partitions, ANSI, local time zone)
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session()
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
