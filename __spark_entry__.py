@@ -20,22 +20,26 @@ table, and ``jdbc_roundtrip`` would need a database.
 from __future__ import annotations
 
 import os
+import sys
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions.rules import Rule
-from vigil.operators import accuracy as acc
-from vigil.operators import completeness as comp
-from vigil.operators.timeliness import timeliness
-from vigil.plans.catalog import load_catalog
-from vigil.plans.runner import run
-from vigil.sources.sinks import COMPLETENESS_TABLE, PathSink, accuracy_table, shared_dir
-from vigil.sources.tables import MappedTables
-
 HERE = os.path.dirname(os.path.abspath(__file__))
+if HERE not in sys.path:  # the package sits next to this file
+    sys.path.insert(0, HERE)
+
+from vigil.functions.rules import Rule  # noqa: E402
+from vigil.operators import accuracy as acc  # noqa: E402
+from vigil.operators import completeness as comp  # noqa: E402
+from vigil.operators.timeliness import timeliness  # noqa: E402
+from vigil.plans.catalog import load_catalog  # noqa: E402
+from vigil.plans.runner import run  # noqa: E402
+from vigil.sources.sinks import COMPLETENESS_TABLE, PathSink, accuracy_table, shared_dir  # noqa: E402
+from vigil.sources.tables import MappedTables  # noqa: E402
+
 CATALOG = os.path.join(HERE, "catalogs", "tpch_example.yml")
 AS_OF = "1998-10-04"
 
