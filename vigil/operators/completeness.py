@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.functions.rules import (
     NULL_LABEL,
@@ -114,31 +115,73 @@ def completeness_rate(df: DataFrame, rules) -> DataFrame:
     return agg.selectExpr(f"inline(array({rows}))")
 
 
-def _failure_items(df: DataFrame, rules: list[Rule], label: str, with_total: bool) -> DataFrame:
-    """(rule, value): one item per violated rule per row, plus a marker row per input row.
+#: Column types grouped by their own value; anything else is grouped by its text.
+_TYPED_SLOTS = (
+    T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType,
+)
+
+
+def _slots(df: DataFrame, rules: list[Rule]) -> tuple[list[str], dict[str, tuple[int, str]]]:
+    """Value slots: one per column type among the rules' columns.
 
+    Returns the slot types (SQL names) and, per rule column, (slot, value
+    expression).  Columns of other types (or not found by name) go to a text
+    slot as ``CAST(col AS STRING)``.
+    """
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    types: list[str] = []
+    where: dict[str, tuple[int, str]] = {}
+    for r in rules:
+        col = r.target
+        if col in where:
+            continue
+        dtype = fields.get(col)
+        if dtype is not None and isinstance(dtype, _TYPED_SLOTS):
+            tname, expr = dtype.simpleString(), sql_ident(col)
+        else:
+            tname, expr = "string", f"CAST({sql_ident(col)} AS STRING)"
+        if tname not in types:
+            types.append(tname)
+        where[col] = (types.index(tname), expr)
+    return types, where
+
+
+def _failure_items(df: DataFrame, rules: list[Rule], with_total: bool) -> tuple[DataFrame, list[str]]:
+    """(rule, v0..vn): one item per violated rule per row, plus a marker row per input row.
+
+    The failing value stays in its own type (slot ``v<k>`` for the k-th column
+    type) so rows are grouped on typed values and turned into text only after
+    the aggregate, once per distinct value instead of once per failing row.
     Written as one SQL expression (one round trip to build, however many
     rules).  Items of rules that hold are NULL structs and are dropped by a
     plain filter after the generator - filtering inside the array would need
     a lambda, which runs outside generated code.
     """
-    items = []
-    if with_total:
-        items.append(f"named_struct('rule', {_TOTAL}, 'value', CAST(NULL AS STRING))")
-    lab = sql_string(label)
+    types, where = _slots(df, rules)
+    nulls = [f"CAST(NULL AS {t})" for t in types]
+
+    def item(rule_idx: int, slot: int | None, expr: str | None) -> str:
+        vals = [expr if k == slot else nulls[k] for k in range(len(types))]
+        fields = "".join(f", 'v{k}', {v}" for k, v in enumerate(vals))
+        return f"named_struct('rule', {rule_idx}{fields})"
+
+    items = [item(_TOTAL, None, None)] if with_total else []
     for i, r in enumerate(rules):
-        items.append(
-            f"CASE WHEN NOT ({r.predicate}) THEN named_struct('rule', {i}, "
-            f"'value', coalesce(CAST({sql_ident(r.target)} AS STRING), {lab})) END"
-        )
-    return df.selectExpr(f"inline(array({', '.join(items)}))").where("rule IS NOT NULL")
+        slot, expr = where[r.target]
+        items.append(f"CASE WHEN NOT ({r.predicate}) THEN {item(i, slot, expr)} END")
+    slots = [f"v{k}" for k in range(len(types))]
+    return df.selectExpr(f"inline(array({', '.join(items)}))").where("rule IS NOT NULL"), slots
 
 
 def _long_profile(df: DataFrame, rules: list[Rule], label: str, with_total: bool) -> DataFrame:
+    """(rule, value, count).  Floating-point -0.0 and 0.0 (and NaNs) are one value,
+    as in any Spark grouping."""
+    items, slots = _failure_items(df, rules, with_total)
+    text = ", ".join([f"CAST({v} AS STRING)" for v in slots] + [sql_string(label)])
     return (
-        _failure_items(df, rules, label, with_total)
-        .groupBy("rule", "value")
+        items.groupBy("rule", *slots)
         .agg(F.count(F.lit(1)).alias("count"))
+        .selectExpr("rule", f"coalesce({text}) AS value", "count")
     )
 
 
