@@ -155,3 +155,13 @@ def test_counts_only_scorecard_matches(sites):
     lean = C.scorecard(sites, SITE_RULES, "ods", "sites", invalid=None)
     assert "data_invalid" not in lean.columns
     assert {r["column"]: tuple(r) for r in lean.collect()} == full
+
+
+def test_many_rules_split_into_passes(spark, monkeypatch):
+    monkeypatch.setattr(C, "RULES_PER_PASS", 3)
+    df = spark.createDataFrame([(i, f"s{i % 4}") for i in range(40)], "x int, s string")
+    rules = [Rule(f"x{i}", f"x > {i}", column="x") for i in range(5)] + [Rule("s", "s <> 's1'")]
+    got = {r["column"]: (r["count_data"], r["count_valid"], r["data_invalid"]) for r in C.scorecard(df, rules).collect()}
+    monkeypatch.setattr(C, "RULES_PER_PASS", 100)
+    want = {r["column"]: (r["count_data"], r["count_valid"], r["data_invalid"]) for r in C.scorecard(df, rules).collect()}
+    assert got == want and got["s"][:2] == (40, 30)

@@ -146,18 +146,24 @@ def _slots(df: DataFrame, rules: list[Rule]) -> tuple[list[str], dict[str, tuple
     return types, where
 
 
-def _failure_items(df: DataFrame, rules: list[Rule], with_total: bool) -> tuple[DataFrame, list[str]]:
-    """(rule, v0..vn): one item per violated rule per row, plus a marker row per input row.
+#: Rules per generator.  Far beyond this the generated code of one
+#: expression outgrows the JVM's method size and Spark interprets it instead.
+RULES_PER_PASS = 100
+
+
+def _failure_items(df: DataFrame, rules: list[Rule], first: int, with_total: bool,
+                   types: list[str], where: dict) -> DataFrame:
+    """(rule, v0..vn): one item per violated rule per row, plus (optionally) a
+    marker row per input row.  ``first`` is the index of ``rules[0]``.
 
     The failing value stays in its own type (slot ``v<k>`` for the k-th column
     type) so rows are grouped on typed values and turned into text only after
     the aggregate, once per distinct value instead of once per failing row.
-    Written as one SQL expression (one round trip to build, however many
-    rules).  Items of rules that hold are NULL structs and are dropped by a
-    plain filter after the generator - filtering inside the array would need
-    a lambda, which runs outside generated code.
+    Written as one SQL expression (one round trip to build).  Items of rules
+    that hold are NULL structs and are dropped by a plain filter after the
+    generator - filtering inside the array would need a lambda, which runs
+    outside generated code.
     """
-    types, where = _slots(df, rules)
     nulls = [f"CAST(NULL AS {t})" for t in types]
 
     def item(rule_idx: int, slot: int | None, expr: str | None) -> str:
@@ -166,23 +172,33 @@ def _failure_items(df: DataFrame, rules: list[Rule], with_total: bool) -> tuple[
         return f"named_struct('rule', {rule_idx}{fields})"
 
     items = [item(_TOTAL, None, None)] if with_total else []
-    for i, r in enumerate(rules):
+    for i, r in enumerate(rules, start=first):
         slot, expr = where[r.target]
         items.append(f"CASE WHEN NOT ({r.predicate}) THEN {item(i, slot, expr)} END")
-    slots = [f"v{k}" for k in range(len(types))]
-    return df.selectExpr(f"inline(array({', '.join(items)}))").where("rule IS NOT NULL"), slots
+    return df.selectExpr(f"inline(array({', '.join(items)}))").where("rule IS NOT NULL")
 
 
 def _long_profile(df: DataFrame, rules: list[Rule], label: str, with_total: bool) -> DataFrame:
     """(rule, value, count).  Floating-point -0.0 and 0.0 (and NaNs) are one value,
-    as in any Spark grouping."""
-    items, slots = _failure_items(df, rules, with_total)
+    as in any Spark grouping.
+
+    Up to :data:`RULES_PER_PASS` rules share one generator and one aggregate;
+    more rules are cut into such groups whose profiles are unioned.  Each
+    group's scan reads only its own rules' columns (parquet column pruning),
+    so the columns are still read about once in total.
+    """
+    types, where = _slots(df, rules)
+    slots = [f"v{k}" for k in range(len(types))]
     text = ", ".join([f"CAST({v} AS STRING)" for v in slots] + [sql_string(label)])
-    return (
-        items.groupBy("rule", *slots)
-        .agg(F.count(F.lit(1)).alias("count"))
-        .selectExpr("rule", f"coalesce({text}) AS value", "count")
-    )
+    parts = []
+    for start in range(0, len(rules), RULES_PER_PASS):
+        chunk = rules[start:start + RULES_PER_PASS]
+        items = _failure_items(df, chunk, start, with_total and start == 0, types, where)
+        parts.append(items.groupBy("rule", *slots).agg(F.count(F.lit(1)).alias("count")))
+    prof = parts[0]
+    for p in parts[1:]:
+        prof = prof.unionByName(p)
+    return prof.selectExpr("rule", f"coalesce({text}) AS value", "count")
 
 
 def invalid_value_profile(df: DataFrame, rules, label: str = NULL_LABEL) -> DataFrame:
