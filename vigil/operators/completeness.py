@@ -285,16 +285,18 @@ def scorecard(
         return _counts_only(df, rs, database, table)
     prof = _long_profile(df, rs, label, with_total=True)
 
-    # counts: one row (n, bad_0..bad_k-1) -> k rows
-    summary = prof.selectExpr(
-        f"coalesce(sum(CASE WHEN rule = {_TOTAL} THEN count END), 0) AS _n",
-        *[f"coalesce(sum(CASE WHEN rule = {i} THEN count END), 0) AS _b{i}" for i in range(len(rs))],
+    # counts: violations per rule (<= #rules + 1 rows, the marker's count is
+    # the row count), folded into one row with a rule -> count map (bounded by
+    # the rule list), then one row per rule from the rule list itself.
+    per_rule = prof.groupBy("rule").agg(F.sum("count").alias("c"))
+    summary = per_rule.selectExpr(
+        f"coalesce(max(CASE WHEN rule = {_TOTAL} THEN c END), 0) AS _n",
+        "map_from_entries(collect_list(struct(rule, c))) AS _bad",
     )
-    per_rule = ", ".join(
-        f"named_struct('rule', {i}, 'column', {sql_string(r.name)}, 'count_data', _n, 'count_valid', _n - _b{i})"
-        for i, r in enumerate(rs)
+    names = ", ".join(sql_string(r.name) for r in rs)  # a literal array: folded to one constant
+    counts = summary.selectExpr("_n", "_bad", f"posexplode(array({names})) AS (rule, column)").selectExpr(
+        "rule", "column", "_n AS count_data", "_n - coalesce(_bad[rule], 0) AS count_valid"
     )
-    counts = summary.selectExpr(f"inline(array({per_rule}))")
 
     if invalid == "json":
         texts, text_col, empty = _json_texts(prof), "data_invalid", "[]"
