@@ -165,3 +165,13 @@ def test_many_rules_split_into_passes(spark, monkeypatch):
     monkeypatch.setattr(C, "RULES_PER_PASS", 100)
     want = {r["column"]: (r["count_data"], r["count_valid"], r["data_invalid"]) for r in C.scorecard(df, rules).collect()}
     assert got == want and got["s"][:2] == (40, 30)
+
+
+def test_null_and_label_text_are_one_value(spark):
+    df = spark.createDataFrame([("NULL",), (None,), ("ok",)], "s string")
+    row = C.scorecard(df, {"s": "s IS NOT NULL AND s = 'ok'"}).first()
+    assert json.loads(row["data_invalid"]) == [{"value": "NULL", "count": 2}]
+    num = spark.createDataFrame([(1.5,), (None,), (1.5,), (2.0,)], "d double")
+    row = C.scorecard(num, {"d": "coalesce(d > 5, false)"}).first()
+    assert json.loads(row["data_invalid"]) == [
+        {"value": "1.5", "count": 2}, {"value": "2.0", "count": 1}, {"value": "NULL", "count": 1}]

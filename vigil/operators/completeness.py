@@ -121,12 +121,15 @@ _TYPED_SLOTS = (
 )
 
 
-def _slots(df: DataFrame, rules: list[Rule]) -> tuple[list[str], dict[str, tuple[int, str]]]:
+def _slots(df: DataFrame, rules: list[Rule], label: str) -> tuple[list[str], dict[str, tuple[int, str]]]:
     """Value slots: one per column type among the rules' columns.
 
     Returns the slot types (SQL names) and, per rule column, (slot, value
-    expression).  Columns of other types (or not found by name) go to a text
-    slot as ``CAST(col AS STRING)``.
+    expression).  Columns of other types (or not found by name) go to the text
+    slot as ``CAST(col AS STRING)``.  Text values get the NULL label before
+    grouping (it costs nothing there), so a NULL and a literal label text are
+    one value, as when the label is applied first; other types are labelled
+    after the aggregate.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     types: list[str] = []
@@ -136,10 +139,12 @@ def _slots(df: DataFrame, rules: list[Rule]) -> tuple[list[str], dict[str, tuple
         if col in where:
             continue
         dtype = fields.get(col)
-        if dtype is not None and isinstance(dtype, _TYPED_SLOTS):
+        if isinstance(dtype, T.StringType):
+            tname, expr = "string", f"coalesce({sql_ident(col)}, {sql_string(label)})"
+        elif dtype is not None and isinstance(dtype, _TYPED_SLOTS):
             tname, expr = dtype.simpleString(), sql_ident(col)
         else:
-            tname, expr = "string", f"CAST({sql_ident(col)} AS STRING)"
+            tname, expr = "string", f"coalesce(CAST({sql_ident(col)} AS STRING), {sql_string(label)})"
         if tname not in types:
             types.append(tname)
         where[col] = (types.index(tname), expr)
@@ -187,7 +192,7 @@ def _long_profile(df: DataFrame, rules: list[Rule], label: str, with_total: bool
     group's scan reads only its own rules' columns (parquet column pruning),
     so the columns are still read about once in total.
     """
-    types, where = _slots(df, rules)
+    types, where = _slots(df, rules, label)
     slots = [f"v{k}" for k in range(len(types))]
     text = ", ".join([f"CAST({v} AS STRING)" for v in slots] + [sql_string(label)])
     parts = []
