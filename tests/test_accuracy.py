@@ -103,3 +103,27 @@ def test_absolute_option(sides):
     rule = A.AccuracyRule("m", "lon", "lon", "max", 0.02, absolute=True)
     rows = {(r["lac"], r["ci"]): r["lon_accuracy"] for r in A.rule_check(s, t, "lac,ci", rule).collect()}
     assert rows[(1, 1)] is False  # |2.0 - 2.5| > 0.02, the signed check would pass
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_key = st.one_of(st.none(), st.integers(0, 3))
+_row = st.tuples(_key, _key, st.one_of(st.none(), st.integers(-3, 3)))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_row, max_size=25), st.lists(_row, max_size=25), st.integers(1, 4))
+def test_report_equals_chain_on_random_keys(spark, src_rows, tgt_rows, chunk):
+    schema = "a int, b int, v int"
+    s, t = spark.createDataFrame(src_rows, schema), spark.createDataFrame(tgt_rows, schema)
+    rules = A.as_accuracy_rules(
+        {"mx": {"source_cols": "v", "target_cols": "v", "aggfunc": "max", "threshold": 1},
+         "sm": {"source_cols": "v", "target_cols": "v", "aggfunc": "sum"}}
+    )
+    # two rules on one target column would clash on "v_accuracy": give the sum its own copy
+    s2, t2 = s.withColumn("w", F.col("v")), t.withColumn("w", F.col("v"))
+    rules = [rules[0], A.AccuracyRule("sm", "w", "w", "sum", 0)]
+    fast = A.accuracy_report(s2, t2, ["a", "b"], rules, chunk_rows=chunk)
+    slow = _chain_form(s2, t2, ["a", "b"], rules).select(*fast.columns)
+    assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, slow.collect()), key=repr)

@@ -113,3 +113,17 @@ def test_measure_on_source_side(spark, sites):
               side="source", measures=("completeness",))
     rows = res.completeness.collect()  # dq_sites has no source: no rows from it
     assert [(r["table"], r["count_data"], r["count_valid"]) for r in rows] == [("src", 2, 1)]
+
+
+def test_staged_inputs_are_read_from_the_shared_folder(spark, sites):
+    res = run(
+        parse_catalog(_config()),
+        MappedTables({"ods.sites": sites, "stage.src": sites, "ods.tgt": sites}),
+        as_of="2024-03-10",
+        measures=("completeness",),
+        stage_inputs=True,
+        spark=spark,
+    )
+    files = res.completeness.inputFiles()
+    assert files and all("vigil-staged" in f for f in files)  # the scorecard reads the staged copy
+    assert len(res.completeness.collect()) == len(SITE_RULES)
