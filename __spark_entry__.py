@@ -13,8 +13,8 @@ same text in Spark and DuckDB:
 * ``T`` - lineitem without line 7, line-3 prices and line-5 quantities lowered
   by 1, as the accuracy target.
 
-Not registered (see README): ``literal_rows`` and ``expected_date`` read no
-table, and ``jdbc_roundtrip`` would need a database.
+Not registered (see README): ``literal_rows`` reads no table, and
+``jdbc_roundtrip`` would need a database.
 """
 
 from __future__ import annotations
@@ -169,6 +169,13 @@ def q_timeliness_pct(spark, sf_dir):
     return timeliness(table_b(spark, sf_dir), "o_orderdate", "days:-1", AS_OF, "tpch", "orders_b")
 
 
+def q_expected_date(spark, sf_dir):
+    """The expected delivery date of a timeliness measure, with the rows it was measured on."""
+    return timeliness(table_b(spark, sf_dir), "o_orderdate", "days:-1", AS_OF, "tpch", "orders_b").select(
+        "date_column", "expected_date", "count_data"
+    )
+
+
 def q_accuracy_rule_check(spark, sf_dir):
     return acc.rule_check(*tables_st(spark, sf_dir), KEYS, PRICE_MAX)
 
@@ -294,6 +301,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "invalid_distinct_values": q_invalid_distinct_values,
         "completeness_rate": q_completeness_rate,
         "timeliness_pct": q_timeliness_pct,
+        "expected_date": q_expected_date,
         "accuracy_rule_check": q_accuracy_rule_check,
         "accuracy_multi_agg": q_accuracy_multi_agg,
         "accuracy_report": q_accuracy_report,
@@ -437,6 +445,11 @@ def oracle_sql() -> dict[str, str]:
         "invalid_distinct_values": distinct,
         "completeness_rate": rate,
         "timeliness_pct": _timeliness_sql(),
+        "expected_date": (
+            "SELECT 'o_orderdate' AS date_column, "
+            "CAST(CAST(DATE '1998-10-04' - INTERVAL 1 DAY AS DATE) AS VARCHAR) AS expected_date, "
+            f"count(*) AS count_data FROM {_B}"
+        ),
         "accuracy_rule_check": _price_check_sql(),
         "accuracy_multi_agg": (
             "SELECT a.k1, a.k2, p AS max_source_price, x AS max_source_qty, q AS max_target_price, "
