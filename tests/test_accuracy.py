@@ -127,3 +127,24 @@ def test_report_equals_chain_on_random_keys(spark, src_rows, tgt_rows, chunk):
     fast = A.accuracy_report(s2, t2, ["a", "b"], rules, chunk_rows=chunk)
     slow = _chain_form(s2, t2, ["a", "b"], rules).select(*fast.columns)
     assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, slow.collect()), key=repr)
+
+
+_k = st.one_of(st.none(), st.integers(0, 3))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(_k, _k), max_size=20), st.lists(st.tuples(_k, _k, st.integers(0, 9)), max_size=12),
+       st.integers(1, 3))
+def test_join_key_rows_equals_plain_join(spark, left_rows, right_rows, chunk):
+    left = spark.createDataFrame(left_rows, "a int, b int")
+    right = spark.createDataFrame(right_rows, "a int, b int, x int")
+    for how in ("inner", "left", "right", "full_outer"):
+        fast = A.join_key_rows(left, right, "a,b", how, chunk_rows=chunk)
+        plain = left.join(right, ["a", "b"], how).select(*fast.columns)
+        assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr), how
+
+
+def test_join_key_rows_rejects_non_key_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, z int")
+    with pytest.raises(ValueError):
+        A.join_key_rows(df, df, "a")

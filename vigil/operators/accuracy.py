@@ -206,8 +206,6 @@ def accuracy_report(
     keys = parse_keys(keys)
     rules = as_accuracy_rules(rules)
     _validate(source, target, keys, rules, [r.check_alias for r in rules])
-    if chunk_rows < 1:
-        raise ValueError("chunk_rows must be positive")
 
     s = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[r.source_agg() for r in rules]).alias("s")
     t = (
@@ -226,13 +224,22 @@ def accuracy_report(
         tgt = F.col(f"t.{r.target_alias}")
         out += [src.alias(r.source_alias), tgt.alias(r.target_alias), r.check(src, tgt).alias(r.check_alias)]
     per_key = joined.select(*out, F.col("s._rows").alias("_rows"))
-    names = [c for c in per_key.columns if c != "_rows"]
+    return _expand(per_key, keys, "_rows", chunk_rows)
+
 
-    # per key: ceil(rows / chunk_rows) chunks; the chunks are spread over an
-    # explicit number of tasks (AQE does not coalesce an explicit count), then
-    # each chunk is expanded to its rows.
-    rows, chunk = F.col("_rows"), F.col("_chunk")
-    parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _expand(per_key: DataFrame, keys: list[str], rows_col: str, chunk_rows: int) -> DataFrame:
+    """Repeat each row ``rows_col`` times (and drop that column).
+
+    Each row is cut into chunks of at most ``chunk_rows`` repeats; the chunks
+    are hashed over an explicit ``spark.sql.shuffle.partitions`` tasks (AQE does
+    not coalesce an explicit count) and only then expanded, so every task
+    writes about total / partitions rows whatever the key distribution.
+    """
+    if chunk_rows < 1:
+        raise ValueError("chunk_rows must be positive")
+    names = [c for c in per_key.columns if c != rows_col]
+    rows, chunk = F.col(rows_col), F.col("_chunk")
+    parts = int(per_key.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         per_key.select(*names, rows, F.explode(F.sequence(F.lit(0), F.ceil(rows / chunk_rows) - 1)).alias("_chunk"))
         .repartition(parts, *keys, "_chunk")
@@ -242,3 +249,37 @@ def accuracy_report(
         )
         .drop("_r")
     )
+
+
+def join_key_rows(key_rows: DataFrame, keyed: DataFrame, keys, how: str = "full_outer",
+                  chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``key_rows.join(keyed, keys, how)`` for a ``key_rows`` made of key columns only.
+
+    Duplicate key rows are identical, so they are counted (a map-side-combined
+    aggregate), joined at key level, and repeated by their count afterwards:
+    the rows themselves are never shuffled, and a key holding a third of them
+    is not one join task's third (AQE cannot split skewed full outer joins).
+    Same rows as the plain join for inner, left, right and full outer joins,
+    including NULL keys and duplicate keys on either side.
+    """
+    keys = parse_keys(keys)
+    extra = [c for c in key_rows.columns if c not in keys]
+    if extra:
+        raise ValueError(f"key_rows may hold only the key columns; found {extra}")
+    how = {"outer": "full_outer", "full": "full_outer", "fullouter": "full_outer",
+           "left_outer": "left", "leftouter": "left", "right_outer": "right", "rightouter": "right"}.get(how, how)
+    if how not in ("inner", "left", "right", "full_outer"):
+        raise ValueError(f"unsupported join type {how!r}")
+    c = key_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).alias("c")
+    u = keyed.alias("u")
+    j = c.join(u, [F.col(f"c.{k}") == F.col(f"u.{k}") for k in keys], how)
+    if how in ("inner", "left"):
+        out = [F.col(f"c.{k}").alias(k) for k in keys]
+    elif how == "right":
+        out = [F.col(f"u.{k}").alias(k) for k in keys]
+    else:
+        out = [F.coalesce(F.col(f"c.{k}"), F.col(f"u.{k}")).alias(k) for k in keys]
+    out += [F.col(f"u.{col}").alias(col) for col in keyed.columns if col not in keys]
+    # a keyed row with no matching key rows appears once (right / full outer)
+    per_key = j.select(*out, F.coalesce(F.col("c._rows"), F.lit(1)).alias("_rows"))
+    return _expand(per_key, keys, "_rows", chunk_rows)
