@@ -148,3 +148,15 @@ def test_join_key_rows_rejects_non_key_columns(spark):
     df = spark.createDataFrame([(1, 2)], "a int, z int")
     with pytest.raises(ValueError):
         A.join_key_rows(df, df, "a")
+
+
+def test_expansion_partitions(spark, sides):
+    from vigil.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(100 * 1024**4) == 204800
+    assert shuffle_partitions_for(1) == 200
+    assert A.expansion_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    s, t = sides
+    rep = A.accuracy_report(s, t, "lac,ci", RULES, partitions=3)
+    assert rep.rdd.getNumPartitions() == 3
+    assert sorted((tuple(r) for r in rep.collect()), key=repr) == EXPECTED

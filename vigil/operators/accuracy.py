@@ -196,6 +196,7 @@ def accuracy_report(
     keys,
     rules,
     chunk_rows: int = CHUNK_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per source row: keys, then per rule (source agg, target agg, check).
 
@@ -224,22 +225,34 @@ def accuracy_report(
         tgt = F.col(f"t.{r.target_alias}")
         out += [src.alias(r.source_alias), tgt.alias(r.target_alias), r.check(src, tgt).alias(r.check_alias)]
     per_key = joined.select(*out, F.col("s._rows").alias("_rows"))
-    return _expand(per_key, keys, "_rows", chunk_rows)
+    return _expand(per_key, keys, "_rows", chunk_rows, partitions)
 
 
-def _expand(per_key: DataFrame, keys: list[str], rows_col: str, chunk_rows: int) -> DataFrame:
+def expansion_partitions(spark) -> int:
+    """Tasks that generate repeated rows: the larger of ``spark.sql.shuffle.partitions``
+    and AQE's initial partition number, when one is set."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    if initial not in (None, "", "None"):
+        parts = max(parts, int(initial))
+    return parts
+
+
+def _expand(per_key: DataFrame, keys: list[str], rows_col: str, chunk_rows: int,
+            partitions: int | None = None) -> DataFrame:
     """Repeat each row ``rows_col`` times (and drop that column).
 
     Each row is cut into chunks of at most ``chunk_rows`` repeats; the chunks
-    are hashed over an explicit ``spark.sql.shuffle.partitions`` tasks (AQE does
-    not coalesce an explicit count) and only then expanded, so every task
-    writes about total / partitions rows whatever the key distribution.
+    are hashed over an explicit number of tasks (``partitions``, default
+    :func:`expansion_partitions`; AQE does not coalesce an explicit count) and
+    only then expanded, so every task writes about total / partitions rows
+    whatever the key distribution.
     """
     if chunk_rows < 1:
         raise ValueError("chunk_rows must be positive")
     names = [c for c in per_key.columns if c != rows_col]
     rows, chunk = F.col(rows_col), F.col("_chunk")
-    parts = int(per_key.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or expansion_partitions(per_key.sparkSession)
     return (
         per_key.select(*names, rows, F.explode(F.sequence(F.lit(0), F.ceil(rows / chunk_rows) - 1)).alias("_chunk"))
         .repartition(parts, *keys, "_chunk")
@@ -252,7 +265,7 @@ def _expand(per_key: DataFrame, keys: list[str], rows_col: str, chunk_rows: int)
 
 
 def join_key_rows(key_rows: DataFrame, keyed: DataFrame, keys, how: str = "full_outer",
-                  chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                  chunk_rows: int = CHUNK_ROWS, partitions: int | None = None) -> DataFrame:
     """``key_rows.join(keyed, keys, how)`` for a ``key_rows`` made of key columns only.
 
     Duplicate key rows are identical, so they are counted (a map-side-combined
@@ -282,4 +295,4 @@ def join_key_rows(key_rows: DataFrame, keyed: DataFrame, keys, how: str = "full_
     out += [F.col(f"u.{col}").alias(col) for col in keyed.columns if col not in keys]
     # a keyed row with no matching key rows appears once (right / full outer)
     per_key = j.select(*out, F.coalesce(F.col("c._rows"), F.lit(1)).alias("_rows"))
-    return _expand(per_key, keys, "_rows", chunk_rows)
+    return _expand(per_key, keys, "_rows", chunk_rows, partitions)

@@ -23,6 +23,17 @@ RECOMMENDED = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 512 * 1024**2, floor: int = 200) -> int:
+    """A ``spark.sql.shuffle.partitions`` for an input of ``input_bytes``.
+
+    AQE merges small shuffle partitions but never splits large ones outside
+    skewed joins, and the row expansion of the accuracy report uses the count
+    as is, so the count has to be sized for the biggest shuffle: about one
+    partition per ``target_bytes`` of input (100 TB -> ~200 000).
+    """
+    return max(floor, -(-int(input_bytes) // int(target_bytes)))
+
+
 def configure(builder: SparkSession.Builder, overrides: dict | None = None) -> SparkSession.Builder:
     for k, v in {**RECOMMENDED, **(overrides or {})}.items():
         builder = builder.config(k, v)
