@@ -51,6 +51,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+            # small shuffles still spread over the cores (the default floor is 1 MB)
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
         },
     )
     spark = b.getOrCreate()
