@@ -127,3 +127,22 @@ def test_staged_inputs_are_read_from_the_shared_folder(spark, sites):
     files = res.completeness.inputFiles()
     assert files and all("vigil-staged" in f for f in files)  # the scorecard reads the staged copy
     assert len(res.completeness.collect()) == len(SITE_RULES)
+
+
+def test_jdbc_resolver_is_staged_by_default(spark, monkeypatch):
+    from vigil.plans import runner
+    from vigil.sources.tables import JdbcTables
+
+    staged = []
+    monkeypatch.setattr(runner, "stage", lambda df, s, name: staged.append(name) or df)
+    sites_df = spark.createDataFrame([("a",)], "site_id string")
+
+    class FakeJdbc(JdbcTables):  # no database here: hand back a DataFrame
+        def __call__(self, ref):
+            return sites_df
+
+    cfg = {"dq_x": {"target": {"database": "ods", "table": "t"},
+                    "measure": {"completeness": {"dq_rules": {"site_id": "site_id IS NOT NULL"}}}}}
+    res = run(parse_catalog(cfg), FakeJdbc(spark, "jdbc:none:{database}"))
+    assert staged == ["ods.t"]
+    assert res.completeness.first()["count_valid"] == 1

@@ -22,7 +22,7 @@ from vigil.operators.completeness import scorecard
 from vigil.operators.timeliness import timeliness
 from vigil.plans.catalog import Section
 from vigil.sources.sinks import COMPLETENESS_TABLE, accuracy_table, stage
-from vigil.sources.tables import resolve
+from vigil.sources.tables import JdbcTables, resolve
 
 
 @dataclass
@@ -46,18 +46,24 @@ def run(
     as_of=None,
     side: str = "target",
     measures=("completeness", "timeliness", "accuracy"),
-    invalid: str = "json",
-    stage_inputs: bool = False,
+    invalid: str | None = "json",
+    stage_inputs: bool | None = None,
     spark: SparkSession | None = None,
 ) -> RunResult:
     """Build the plans of every measure of every section.
 
     ``stage_inputs`` writes each table once to the shared folder before it is
-    measured (for sources such as JDBC that should not be read once per
-    measure); it needs ``spark``.
+    measured, so a source that should not be read once per measure (a
+    database) is read once and every plan reads the files.  The default
+    (``None``) stages exactly when the resolver is :class:`JdbcTables`.
+    Staging needs the session (``spark``, or the JDBC resolver's own).
     """
     if side not in ("target", "source"):
         raise ValueError("side must be 'target' or 'source'")
+    if stage_inputs is None:
+        stage_inputs = isinstance(resolver, JdbcTables)
+    if spark is None and isinstance(resolver, JdbcTables):
+        spark = resolver.spark
     loaded: dict = {}
 
     def table(ref):
