@@ -8,7 +8,7 @@ from tests.conftest import SF_SMALL
 def test_reader_options_from_catalog_and_caller():
     opts = jdbc.reader_options(
         url="jdbc:mysql://db:3306/ods",
-        table="chrono",
+        table="cells",
         properties={"user": "u", "password": "p", "driver": "com.mysql.cj.jdbc.Driver"},
         catalog_options={"type": "mariadb", "credentials_key": "k", "read_conf": {"options": {"fetch_size": 1000}}},
         partition_column="ci",
@@ -20,7 +20,7 @@ def test_reader_options_from_catalog_and_caller():
     assert (opts["partitionColumn"], opts["lowerBound"], opts["upperBound"], opts["numPartitions"]) == (
         "ci", "0", "99999", "64")
     assert "type" not in opts and "credentials_key" not in opts
-    assert opts["dbtable"] == "chrono" and opts["user"] == "u"
+    assert opts["dbtable"] == "cells" and opts["user"] == "u"
 
 
 def test_predicates_form_kept_as_list():
@@ -29,7 +29,7 @@ def test_predicates_form_kept_as_list():
 
 
 def test_accuracy_table_name():
-    assert accuracy_table("chrono_landing_2g", "chrono_2g") == "df_dqu_accuracy_chrono_landing_2g_to_chrono_2g"
+    assert accuracy_table("landing_cells", "cells") == "df_dqu_accuracy_landing_cells_to_cells"
 
 
 def test_path_tables_and_stage(spark):
