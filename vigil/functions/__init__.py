@@ -1,0 +1 @@
+"""Column-level building blocks: rules as Columns, expected dates, ordered text aggregation."""

@@ -1,0 +1 @@
+"""Catalogs (YAML -> sections) and the batch runner over all sections."""

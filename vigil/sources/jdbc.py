@@ -88,7 +88,8 @@ def read(spark: SparkSession, opts: dict) -> DataFrame:
     """Load with :func:`reader_options`' result.
 
     ``partitionColumn`` without bounds fetches them first; without
-    ``numPartitions`` it uses the session's default parallelism.
+    ``numPartitions`` it uses ``spark.sql.shuffle.partitions`` (set it, or
+    ``numPartitions``, to what the database can serve concurrently).
     """
     opts = dict(opts)
     predicates = opts.pop("predicates", None)
@@ -100,7 +101,7 @@ def read(spark: SparkSession, opts: dict) -> DataFrame:
             lo, hi = _bounds(spark, opts)
             opts.setdefault("lowerBound", lo)
             opts.setdefault("upperBound", hi)
-        opts.setdefault("numPartitions", str(spark.sparkContext.defaultParallelism))
+        opts.setdefault("numPartitions", spark.conf.get("spark.sql.shuffle.partitions"))
     return spark.read.format("jdbc").options(**opts).load()
 
 

@@ -71,11 +71,16 @@ def shared_dir(spark: SparkSession) -> str:
     in local mode (tests) is a local folder created and registered; on a
     cluster an unset value is an error, never a machine-local fallback.
     """
-    sc = spark.sparkContext
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the conf is all there is
+        if conf:
+            return conf
+        raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder shared by the cluster")
     d = sc.getCheckpointDir()
     if d:
         return d
-    conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf

@@ -1,0 +1 @@
+"""Scoring appended data: the batch scorecard applied per micro-batch."""
