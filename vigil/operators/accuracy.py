@@ -246,7 +246,9 @@ def _expand(per_key: DataFrame, keys: list[str], rows_col: str, chunk_rows: int,
     are hashed over an explicit number of tasks (``partitions``, default
     :func:`expansion_partitions`; AQE does not coalesce an explicit count) and
     only then expanded, so every task writes about total / partitions rows
-    whatever the key distribution.
+    whatever the key distribution.  The flip side of a count AQE may not
+    merge: a small report in a session sized for huge shuffles still runs
+    that many (mostly empty) tasks; pass ``partitions`` to size it.
     """
     if chunk_rows < 1:
         raise ValueError("chunk_rows must be positive")
