@@ -146,3 +146,9 @@ def test_jdbc_resolver_is_staged_by_default(spark, monkeypatch):
     res = run(parse_catalog(cfg), FakeJdbc(spark, "jdbc:none:{database}"))
     assert staged == ["ods.t"]
     assert res.completeness.first()["count_valid"] == 1
+
+
+def test_empty_section_and_empty_file():
+    assert parse_catalog(None) == []
+    (sec,) = parse_catalog({"dq_empty": None, "_anchor": {"x": 1}})
+    assert sec.name == "dq_empty" and sec.target is None and sec.completeness == []

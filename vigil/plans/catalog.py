@@ -95,7 +95,8 @@ def _completeness_rules(spec: dict) -> list[Rule]:
     return rules
 
 
-def parse_section(name: str, body: dict) -> Section:
+def parse_section(name: str, body: dict | None) -> Section:
+    body = body or {}
     measure = body.get("measure") or {}
     tl = measure.get("timeliness")
     timeliness = None
