@@ -39,3 +39,20 @@ def test_path_tables_and_stage(spark):
     assert shared_dir(spark)
     staged = stage(region, spark, "tpch.region")
     assert sorted(staged.collect()) == sorted(region.collect())
+
+
+def test_jdbc_tables_build_partitioned_reads(spark, monkeypatch):
+    from vigil.sources import tables as T
+
+    seen = []
+    monkeypatch.setattr(T._jdbc, "read", lambda s, opts: seen.append(opts) or "df")
+    res = T.JdbcTables(
+        spark, "jdbc:mysql://db:3306/{database}", {"user": "u", "password": "p"},
+        partitioning={"ods.cells": {"partition_column": "ci", "num_partitions": 32}}, fetchsize=5000,
+    )
+    assert res(TableRef("ods", "cells", {"read_conf": {"options": {"fetch_size": 1000}}})) == "df"
+    assert res(TableRef("stage", "other")) == "df"
+    first, second = seen
+    assert first["url"] == "jdbc:mysql://db:3306/ods" and first["dbtable"] == "cells"
+    assert (first["partitionColumn"], first["numPartitions"], first["fetchsize"]) == ("ci", "32", "5000")
+    assert second["url"].endswith("/stage") and "partitionColumn" not in second
