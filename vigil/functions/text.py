@@ -17,7 +17,7 @@ On small inputs AQE coalesces the shuffles to a handful of tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.rules import sql_string
@@ -26,8 +26,8 @@ from vigil.functions.rules import sql_string
 def ordered_concat(
     df: DataFrame,
     group: str,
-    order: list[Column],
-    text: Column,
+    order: list[str],
+    text: str,
     sep: str,
     prefix: str = "",
     suffix: str = "",
@@ -35,31 +35,27 @@ def ordered_concat(
 ) -> DataFrame:
     """Per ``group``: ``prefix + join(text ordered by order, sep) + suffix``.
 
-    ``order`` lists ascending sort keys (negate a number to sort it
-    descending).  Rows with NULL text are skipped.  Groups without rows do
-    not appear; callers fill them with their own empty value.
+    ``order`` lists ascending sort keys and ``text`` the piece of text, both
+    as SQL expressions over ``df`` (negate a number to sort it descending).
+    Rows with NULL text are skipped.  Groups without rows do not appear;
+    callers fill them with their own empty value.
     """
     keys = [f"_k{i}" for i in range(len(order))]
-    slim = df.select(
-        F.col(group).alias("_g"),
-        *[o.alias(k) for o, k in zip(order, keys)],
-        text.alias("_t"),
-    ).where(F.col("_t").isNotNull())
+    slim = df.selectExpr(
+        f"{group} AS _g", *[f"{o} AS {k}" for o, k in zip(order, keys)], f"{text} AS _t"
+    ).where("_t IS NOT NULL")
 
     # 1. global order; the partition index of a row is its slice number.
-    sliced = slim.orderBy("_g", *keys).withColumn("_s", F.spark_partition_id())
+    sliced = slim.orderBy("_g", *keys).selectExpr("*", "spark_partition_id() AS _s")
 
     sep_sql = sql_string(sep)
     order_sql = ", ".join(keys)
     # 2. one ordered piece per (group, slice).
     pieces = sliced.groupBy("_g", "_s").agg(
-        F.expr(f"listagg(_t, {sep_sql}) WITHIN GROUP (ORDER BY {order_sql})").alias("_piece")
+        F.expr(f"listagg(_t, {sep_sql}) WITHIN GROUP (ORDER BY {order_sql}) AS _piece")
     )
     # 3. pieces of a group, in slice order.
-    joined = pieces.groupBy("_g").agg(
-        F.expr(f"listagg(_piece, {sep_sql}) WITHIN GROUP (ORDER BY _s)").alias("_all")
-    )
-    return joined.select(
-        F.col("_g").alias(group),
-        F.concat(F.lit(prefix), F.col("_all"), F.lit(suffix)).alias(alias),
+    joined = pieces.groupBy("_g").agg(F.expr(f"listagg(_piece, {sep_sql}) WITHIN GROUP (ORDER BY _s) AS _all"))
+    return joined.selectExpr(
+        f"_g AS {group}", f"concat({sql_string(prefix)}, _all, {sql_string(suffix)}) AS {alias}"
     )

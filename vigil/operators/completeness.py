@@ -219,8 +219,8 @@ def _json_texts(prof: DataFrame) -> DataFrame:
     return ordered_concat(
         prof,
         group="rule",
-        order=[-F.col("count"), F.col("value")],
-        text=F.to_json(F.struct("value", "count")),
+        order=["-count", "value"],
+        text="to_json(named_struct('value', value, 'count', count))",
         sep=",",
         prefix="[",
         suffix="]",
@@ -230,9 +230,7 @@ def _json_texts(prof: DataFrame) -> DataFrame:
 
 def _distinct_texts(prof: DataFrame, alias: str) -> DataFrame:
     """(rule, <alias>): distinct failing values joined by ``|`` in value order."""
-    return ordered_concat(
-        prof, group="rule", order=[F.col("value")], text=F.col("value"), sep="|", alias=alias
-    )
+    return ordered_concat(prof, group="rule", order=["value"], text="value", sep="|", alias=alias)
 
 
 def invalid_profile_json(df: DataFrame, rules, label: str = NULL_LABEL) -> DataFrame:
@@ -247,20 +245,28 @@ def invalid_distinct_values(df: DataFrame, rules, label: str = NULL_LABEL) -> Da
     return card.select("column", "distinct_invalid")
 
 
+def _head(database, table) -> list[str]:
+    """database, table, column, count_data, count_valid - as SQL select items."""
+    lit = lambda v: "CAST(NULL AS STRING)" if v is None else f"CAST({sql_string(str(v))} AS STRING)"
+    return [
+        f"{lit(database)} AS `database`",
+        f"{lit(table)} AS `table`",
+        "`column`",
+        "CAST(count_data AS BIGINT) AS count_data",
+        "CAST(count_valid AS BIGINT) AS count_valid",
+    ]
+
+
 def _counts_only(df: DataFrame, rules: list[Rule], database, table) -> DataFrame:
     agg = df.selectExpr("count(1) AS _n", *[f"count_if(NOT ({r.predicate})) AS _b{i}" for i, r in enumerate(rules)])
     per_rule = ", ".join(
         f"named_struct('column', {sql_string(r.name)}, 'count_data', _n, 'count_valid', _n - _b{i})"
         for i, r in enumerate(rules)
     )
-    n, good = F.col("count_data"), F.col("count_valid")
-    return agg.selectExpr(f"inline(array({per_rule}))").select(
-        F.lit(database).cast("string").alias("database"),
-        F.lit(table).cast("string").alias("table"),
-        F.col("column"),
-        n.cast("long").alias("count_data"),
-        good.cast("long").alias("count_valid"),
-        _percentage(n, n - good).cast("double").alias("percentage_valid"),
+    return agg.selectExpr(f"inline(array({per_rule}))").selectExpr(
+        *_head(database, table),
+        "CASE WHEN count_data > 0 THEN (count_data - (count_data - count_valid)) / count_data * 100 "
+        "ELSE CAST(0 AS DOUBLE) END AS percentage_valid",
     )
 
 
@@ -313,14 +319,9 @@ def scorecard(
     # pushing it into the profile aggregate: the two branches then share one
     # profile exchange (ReusedExchange), i.e. one scan of the table.
     joined = counts.join(texts, counts["rule"].eqNullSafe(texts["rule"]), "left")
-    n = F.col("count_data").cast("long")
-    good = F.col("count_valid").cast("long")
-    return joined.select(
-        F.lit(database).cast("string").alias("database"),
-        F.lit(table).cast("string").alias("table"),
-        F.col("column"),
-        n.alias("count_data"),
-        good.alias("count_valid"),
-        _percentage(n, n - good).cast("double").alias("percentage_valid"),
-        F.coalesce(texts[text_col], F.lit(empty)).alias(text_col),
-    )
+    return joined.selectExpr(
+        *_head(database, table),
+        f"CASE WHEN count_data > 0 THEN (count_data - (count_data - count_valid)) / count_data * 100 "
+        f"ELSE CAST(0 AS DOUBLE) END AS percentage_valid",
+        f"coalesce({text_col}, {sql_string(empty)}) AS {text_col}",
+    )
\ No newline at end of file
