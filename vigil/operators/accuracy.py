@@ -35,6 +35,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 #: Aggregates a rule may name.
 AGGREGATES = {"max": F.max, "sum": F.sum}
 
@@ -81,6 +85,15 @@ class AccuracyRule:
             diff = F.abs(diff)
         return diff <= F.lit(self.threshold)
 
+    def check_sql(self, src: str, tgt: str) -> str:
+        """:meth:`check` as SQL text over two SQL expressions."""
+        diff = f"({src}) - ({tgt})"
+        if self.absolute:
+            diff = f"abs({diff})"
+        t = self.threshold
+        lit = f"CAST({float(t)!r} AS DOUBLE)" if isinstance(t, float) else str(int(t))
+        return f"{diff} <= {lit}"
+
 
 def as_accuracy_rules(rules) -> list[AccuracyRule]:
     """Accept AccuracyRules or a catalog mapping ``{name: {source_cols, target_cols, aggfunc, threshold}}``."""
@@ -165,11 +178,12 @@ def accuracy_by_key(source: DataFrame, target: DataFrame, keys, rules) -> DataFr
     rules = as_accuracy_rules(rules)
     _validate(source, target, keys, rules, [r.check_alias for r in rules])
     j = _both_sides(source, target, keys, rules)
-    cols = [F.col(f"s.{k}").alias(k) for k in keys]
+    cols = [f"s.{_q(k)} AS {_q(k)}" for k in keys]
     for r in rules:
-        src, tgt = F.col(f"s.{r.source_alias}"), F.col(f"t.{r.target_alias}")
-        cols += [src.alias(r.source_alias), tgt.alias(r.target_alias), r.check(src, tgt).alias(r.check_alias)]
-    return j.select(*cols)
+        src, tgt = f"s.{_q(r.source_alias)}", f"t.{_q(r.target_alias)}"
+        cols += [f"{src} AS {_q(r.source_alias)}", f"{tgt} AS {_q(r.target_alias)}",
+                 f"{r.check_sql(src, tgt)} AS {_q(r.check_alias)}"]
+    return j.selectExpr(*cols)
 
 
 def reconcile(source: DataFrame, target: DataFrame, keys, rules, check_suffix: str = "_check") -> DataFrame:
@@ -180,14 +194,14 @@ def reconcile(source: DataFrame, target: DataFrame, keys, rules, check_suffix: s
     checks = [f"{r.name}{check_suffix}" for r in rules]
     _validate(source, target, keys, rules, checks)
     j = _both_sides(source, target, keys, rules)
-    cols = [F.col(f"s.{k}").alias(k) for k in keys]
-    cols += [F.col(f"s.{r.source_alias}").alias(r.source_alias) for r in rules]
-    cols += [F.col(f"t.{r.target_alias}").alias(r.target_alias) for r in rules]
+    cols = [f"s.{_q(k)} AS {_q(k)}" for k in keys]
+    cols += [f"s.{_q(r.source_alias)} AS {_q(r.source_alias)}" for r in rules]
+    cols += [f"t.{_q(r.target_alias)} AS {_q(r.target_alias)}" for r in rules]
     cols += [
-        r.check(F.col(f"s.{r.source_alias}"), F.col(f"t.{r.target_alias}")).alias(c)
+        f"{r.check_sql(f's.{_q(r.source_alias)}', f't.{_q(r.target_alias)}')} AS {_q(c)}"
         for r, c in zip(rules, checks)
     ]
-    return j.select(*cols)
+    return j.selectExpr(*cols)
 
 
 def accuracy_report(
@@ -218,13 +232,13 @@ def accuracy_report(
     cond = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
     joined = s.join(t, cond, "left")
 
-    hit = F.col("t._hit")
-    out = [F.col(f"s.{k}").alias(k) for k in keys]
+    out = [f"s.{_q(k)} AS {_q(k)}" for k in keys]
     for r in rules:
-        src = F.when(hit, F.col(f"s.{r.source_alias}"))
-        tgt = F.col(f"t.{r.target_alias}")
-        out += [src.alias(r.source_alias), tgt.alias(r.target_alias), r.check(src, tgt).alias(r.check_alias)]
-    per_key = joined.select(*out, F.col("s._rows").alias("_rows"))
+        src = f"CASE WHEN t._hit THEN s.{_q(r.source_alias)} END"
+        tgt = f"t.{_q(r.target_alias)}"
+        out += [f"{src} AS {_q(r.source_alias)}", f"{tgt} AS {_q(r.target_alias)}",
+                f"{r.check_sql(src, tgt)} AS {_q(r.check_alias)}"]
+    per_key = joined.selectExpr(*out, "s._rows AS _rows")
     return _expand(per_key, keys, "_rows", chunk_rows, partitions)
 
 
@@ -252,16 +266,13 @@ def _expand(per_key: DataFrame, keys: list[str], rows_col: str, chunk_rows: int,
     """
     if chunk_rows < 1:
         raise ValueError("chunk_rows must be positive")
-    names = [c for c in per_key.columns if c != rows_col]
-    rows, chunk = F.col(rows_col), F.col("_chunk")
+    names = [_q(c) for c in per_key.columns if c != rows_col]
+    rows, c = _q(rows_col), int(chunk_rows)
     parts = partitions or expansion_partitions(per_key.sparkSession)
     return (
-        per_key.select(*names, rows, F.explode(F.sequence(F.lit(0), F.ceil(rows / chunk_rows) - 1)).alias("_chunk"))
+        per_key.selectExpr(*names, rows, f"explode(sequence(0, ceil({rows} / {c}) - 1)) AS _chunk")
         .repartition(parts, *keys, "_chunk")
-        .select(
-            *names,
-            F.explode(F.array_repeat(F.lit(0), F.least(F.lit(chunk_rows), rows - chunk * chunk_rows).cast("int"))).alias("_r"),
-        )
+        .selectExpr(*names, f"explode(array_repeat(0, CAST(least({c}, {rows} - _chunk * {c}) AS INT))) AS _r")
         .drop("_r")
     )
 
@@ -289,12 +300,12 @@ def join_key_rows(key_rows: DataFrame, keyed: DataFrame, keys, how: str = "full_
     u = keyed.alias("u")
     j = c.join(u, [F.col(f"c.{k}") == F.col(f"u.{k}") for k in keys], how)
     if how in ("inner", "left"):
-        out = [F.col(f"c.{k}").alias(k) for k in keys]
+        out = [f"c.{_q(k)} AS {_q(k)}" for k in keys]
     elif how == "right":
-        out = [F.col(f"u.{k}").alias(k) for k in keys]
+        out = [f"u.{_q(k)} AS {_q(k)}" for k in keys]
     else:
-        out = [F.coalesce(F.col(f"c.{k}"), F.col(f"u.{k}")).alias(k) for k in keys]
-    out += [F.col(f"u.{col}").alias(col) for col in keyed.columns if col not in keys]
+        out = [f"coalesce(c.{_q(k)}, u.{_q(k)}) AS {_q(k)}" for k in keys]
+    out += [f"u.{_q(col)} AS {_q(col)}" for col in keyed.columns if col not in keys]
     # a keyed row with no matching key rows appears once (right / full outer)
-    per_key = j.select(*out, F.coalesce(F.col("c._rows"), F.lit(1)).alias("_rows"))
+    per_key = j.selectExpr(*out, "coalesce(c._rows, 1) AS _rows")
     return _expand(per_key, keys, "_rows", chunk_rows, partitions)
