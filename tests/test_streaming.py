@@ -25,3 +25,23 @@ def test_each_micro_batch_is_scored(spark, tmp_path):
     rows = got.drop("batch_id").collect()
     assert {r["column"]: tuple(r) for r in rows} == want  # one file, one micro-batch
     assert json.loads(rows[0]["data_invalid"])
+
+
+def test_restart_scores_only_new_files(spark, tmp_path):
+    batch = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    shutil.copy(f"{SF_SMALL}/orders.parquet", landing / "part-0.parquet")
+
+    def start():
+        stream = spark.readStream.schema(batch.schema).parquet(str(landing))
+        return score_micro_batches(stream, RULES, str(tmp_path / "out"), "tpch", "orders",
+                                   checkpoint=str(tmp_path / "ckpt"), available_now=True)
+
+    start().awaitTermination(120)
+    shutil.copy(f"{SF_SMALL}/orders.parquet", landing / "part-1.parquet")
+    start().awaitTermination(120)  # same checkpoint: resumes after the first file
+    got = spark.read.parquet(str(tmp_path / "out" / "df_dqu_completeness"))
+    per_batch = {r["batch_id"]: r["n"] for r in got.groupBy("batch_id").count().withColumnRenamed("count", "n").collect()}
+    assert per_batch == {0: len(RULES), 1: len(RULES)}
+    assert {r["count_data"] for r in got.collect()} == {batch.count()}
