@@ -8,7 +8,15 @@ action.
 """
 
 from vigil.functions.rules import Rule
-from vigil.operators.accuracy import AccuracyRule, accuracy_by_key, accuracy_report, reconcile, rule_check
+from vigil.operators.accuracy import (
+    AccuracyRule,
+    accuracy_by_key,
+    accuracy_report,
+    expansion_partitions,
+    join_key_rows,
+    reconcile,
+    rule_check,
+)
 from vigil.operators.completeness import (
     completeness_rate,
     invalid_distinct_values,
@@ -30,9 +38,11 @@ __all__ = [
     "accuracy_by_key",
     "accuracy_report",
     "completeness_rate",
+    "expansion_partitions",
     "invalid_distinct_values",
     "invalid_profile_json",
     "invalid_value_profile",
+    "join_key_rows",
     "load_catalog",
     "load_catalogs",
     "parse_catalog",
