@@ -160,3 +160,16 @@ def test_expansion_partitions(spark, sides):
     rep = A.accuracy_report(s, t, "lac,ci", RULES, partitions=3)
     assert rep.rdd.getNumPartitions() == 3
     assert sorted((tuple(r) for r in rep.collect()), key=repr) == EXPECTED
+
+
+def test_decimal_columns(spark):
+    from decimal import Decimal
+
+    schema = "k int, amt decimal(12,2)"
+    s = spark.createDataFrame([(1, Decimal("10.00")), (1, Decimal("5.01")), (2, Decimal("3.00"))], schema)
+    t = spark.createDataFrame([(1, Decimal("15.00")), (2, Decimal("2.97"))], schema)
+    rules = [A.AccuracyRule("sum_amt", "amt", "amt", "sum", 0.02)]
+    rows = {r["k"]: r for r in A.accuracy_report(s, t, "k", rules).collect()}
+    assert rows[1]["sum_source_amt"] == Decimal("15.01") and rows[1]["amt_accuracy"] is True   # 0.01 <= 0.02
+    assert rows[2]["amt_accuracy"] is False                                                      # 0.03 >  0.02
+    assert A.reconcile(s, t, "k", rules).count() == 2
