@@ -175,3 +175,19 @@ def test_null_and_label_text_are_one_value(spark):
     row = C.scorecard(num, {"d": "coalesce(d > 5, false)"}).first()
     assert json.loads(row["data_invalid"]) == [
         {"value": "1.5", "count": 2}, {"value": "2.0", "count": 1}, {"value": "NULL", "count": 1}]
+
+
+def test_typed_slots_render_dates_booleans_decimals(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    df = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), False, Decimal("1.50")), (dt.date(2024, 1, 1), True, Decimal("1.50")),
+         (None, None, None)],
+        "d date, b boolean, x decimal(5,2)",
+    )
+    rules = {"d": "coalesce(d > DATE '2024-06-01', false)", "b": "coalesce(b, false)", "x": "coalesce(x > 2, false)"}
+    card = {r["column"]: json.loads(r["data_invalid"]) for r in C.scorecard(df, rules).collect()}
+    assert card["d"] == [{"value": "2024-01-01", "count": 2}, {"value": "NULL", "count": 1}]
+    assert card["b"] == [{"value": "NULL", "count": 1}, {"value": "false", "count": 1}]
+    assert card["x"] == [{"value": "1.50", "count": 2}, {"value": "NULL", "count": 1}]
