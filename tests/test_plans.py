@@ -70,3 +70,13 @@ def test_accuracy_report_hot_key_path_reuses_the_aggregates(spark):
     assert _scans(plan) == 2, plan
     assert "ReusedExchange" in plan or "ReusedQueryStage" in plan or plan.count("ShuffleQueryStage") >= 2
     assert df.count() == s.count()
+
+
+def test_full_outer_join_of_key_rows_is_at_key_level(spark):
+    plan = re.sub(r"#\d+L?", "", _final_plan(E.q_outer_join_keys(spark, SF_SMALL)))
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "FullOuter" in line)
+    # the key rows enter the join already counted per key, not as raw rows
+    assert any("functions=[count(1)]" in line for line in lines[at + 1: at + 4]), plan
+    # the expansion spreads over a fixed task count that AQE may not coalesce
+    assert "REPARTITION_BY_NUM" in plan
