@@ -295,7 +295,33 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_completeness_scorecard(spark, "/root/testdata/sf0.001")
 
 
+def _llm():
+    """The training-data operators' query module, or None where ``vigil.llm`` and
+    ``corpus_pipeline.py`` are not installed.  Any other import error is raised."""
+    try:
+        from vigil.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name in ("corpus_pipeline", "vigil.llm") or (e.name or "").startswith("vigil.llm."):
+            return None
+        raise
+    except ImportError as e:  # an emptied folder is still a namespace package
+        if e.name == "vigil.llm":
+            return None
+        raise
+    return llm
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    llm = _llm()
+    return core_queries() | (llm.queries() if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    llm = _llm()
+    return core_oracle_sql() | (llm.oracle_sql() if llm else {})
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "completeness_scorecard": q_completeness_scorecard,
         "invalid_value_profile": q_invalid_value_profile,
@@ -418,7 +444,7 @@ def _violating_sql(pred: str, cols: str) -> str:
     return f"SELECT {cols} FROM {_B} WHERE NOT ({pred})"
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     rules = _order_rules_duck()
     profile = "\nUNION ALL\n".join(
         f"SELECT {_q(n)} AS column_name, coalesce(CAST({n} AS VARCHAR), 'NULL') AS value, count(*) AS \"count\" "
