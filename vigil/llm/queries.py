@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from vigil.llm.bpe import encode_decode
+from vigil.llm.simhash import near_duplicates
 from vigil.llm.token_counts import token_counts
 
 #: Where the vocabulary file lies; a parameter of the operators, never copied.
@@ -16,6 +17,10 @@ def _read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark, sf_dir):
+    return near_duplicates(_read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
 def op3_bpe(spark, sf_dir):
     return encode_decode(_read(spark, sf_dir, "documents"), BYTE_BPE, with_ids=False)
 
@@ -26,6 +31,7 @@ def op4_token_counts(spark, sf_dir):
 
 def queries() -> dict:
     return {
+        "op1_simhash": op1_simhash,
         "op3_bpe": op3_bpe,
         "op4_token_counts": op4_token_counts,
     }
