@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from vigil.llm.bpe import encode_decode
+from vigil.llm.html_text import extract
+from vigil.llm.packing import pack
 from vigil.llm.simhash import near_duplicates
 from vigil.llm.token_counts import token_counts
+from vigil.llm.warc import archive
 
 #: Where the vocabulary file lies; a parameter of the operators, never copied.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,11 +32,26 @@ def op4_token_counts(spark, sf_dir):
     return token_counts(_read(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
 
 
+def op7_warc(spark, sf_dir):
+    return archive(_read(spark, sf_dir, "pages"), least_bytes=1000)
+
+
+def op8_packing(spark, sf_dir):
+    return pack(_read(spark, sf_dir, "documents"), BYTE_BPE, capacity=1024, end_id=2)
+
+
+def op10_html_text(spark, sf_dir):
+    return extract(_read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
         "op3_bpe": op3_bpe,
         "op4_token_counts": op4_token_counts,
+        "op7_warc": op7_warc,
+        "op8_packing": op8_packing,
+        "op10_html_text": op10_html_text,
     }
 
 
