@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vigil.llm.bpe import encode_decode
 from vigil.llm.html_text import extract
 from vigil.llm.packing import pack
+from vigil.llm.quality import judge
 from vigil.llm.simhash import near_duplicates
 from vigil.llm.token_counts import token_counts
 from vigil.llm.warc import archive
@@ -24,6 +25,12 @@ def op1_simhash(spark, sf_dir):
     return near_duplicates(_read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op2_quality(spark, sf_dir):
+    return judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op3_bpe(spark, sf_dir):
     return encode_decode(_read(spark, sf_dir, "documents"), BYTE_BPE, with_ids=False)
 
@@ -47,6 +54,7 @@ def op10_html_text(spark, sf_dir):
 def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
+        "op2_quality": op2_quality,
         "op3_bpe": op3_bpe,
         "op4_token_counts": op4_token_counts,
         "op7_warc": op7_warc,
