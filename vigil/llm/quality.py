@@ -14,9 +14,9 @@ strata and rules together:
 * the ladder is climbed from the most lenient cutoff and left at the first that
   is not certified (fixed-sequence testing: no correction within a ladder);
 * of the certified cutoffs the one that separates bad from good labelled
-  documents best (share of bad rejected less share of good rejected) is used, the
-  most lenient of equals; if none does any good, or none is certified, the rule
-  is off in that stratum.
+  documents best (share of bad rejected less :data:`FALSE_COST` times the share of
+  good rejected) is used, the most lenient of equals; if none does any good, or
+  none is certified, the rule is off in that stratum.
 
 All of it is DataFrame functions.
 """
@@ -42,6 +42,8 @@ SYMBOLS = "[^#*$%&|<>]+"
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
 WINDOW = 8
+#: What a false rejection costs, in caught bad documents.
+FALSE_COST = 20
 
 
 def _let(value: Column, body) -> Column:
@@ -147,7 +149,7 @@ def thresholds(labelled: DataFrame, limit: float = 0.05, delta: float = 0.05) ->
         ))
     )
     ladder = Window.partitionBy("_stratum", "rule").orderBy("rung")
-    gain = F.col("hit") / F.greatest("m", F.lit(1)) - F.col("k") / F.greatest("n", F.lit(1))
+    gain = F.col("hit") / F.greatest("m", F.lit(1)) - FALSE_COST * F.col("k") / F.greatest("n", F.lit(1))
     certified = table.withColumn("certified", F.min("ok").over(ladder)).where("certified").withColumn("gain", gain)
     cutoff = F.get(F.array(*[F.lit(c) for c in LADDER]), F.col("rung") - 1)
     best = certified.where("gain > 0").groupBy("_stratum", "rule").agg(
