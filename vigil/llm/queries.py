@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from vigil.llm.bpe import encode_decode
 from vigil.llm.html_text import extract
+from vigil.llm.line_dedup import dedup_lines
+from vigil.llm.nearest import nearest
 from vigil.llm.packing import pack
 from vigil.llm.quality import judge
 from vigil.llm.simhash import near_duplicates
@@ -39,6 +41,10 @@ def op4_token_counts(spark, sf_dir):
     return token_counts(_read(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
 
 
+def op6_neighbours(spark, sf_dir):
+    return nearest(_read(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
 def op7_warc(spark, sf_dir):
     return archive(_read(spark, sf_dir, "pages"), least_bytes=1000)
 
@@ -47,6 +53,12 @@ def op8_packing(spark, sf_dir):
     return pack(_read(spark, sf_dir, "documents"), BYTE_BPE, capacity=1024, end_id=2)
 
 
+def op9_line_dedup(spark, sf_dir):
+    return dedup_lines(_read(spark, sf_dir, "documents"), min_words=50).select(
+        "_doc.doc_id", "n_lines", "n_removed", "_doc.text"
+    )
+
+
 def op10_html_text(spark, sf_dir):
     return extract(_read(spark, sf_dir, "pages"))
 
@@ -57,8 +69,10 @@ def queries() -> dict:
         "op2_quality": op2_quality,
         "op3_bpe": op3_bpe,
         "op4_token_counts": op4_token_counts,
+        "op6_neighbours": op6_neighbours,
         "op7_warc": op7_warc,
         "op8_packing": op8_packing,
+        "op9_line_dedup": op9_line_dedup,
         "op10_html_text": op10_html_text,
     }
 
