@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from vigil.llm import oracles
 from vigil.llm.bpe import encode_decode
 from vigil.llm.html_text import extract
 from vigil.llm.line_dedup import dedup_lines
@@ -78,4 +79,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_quality": oracles.quality(), "op9_line_dedup": oracles.line_dedup()}
