@@ -84,11 +84,12 @@ def split_head(table: DataFrame, value: str, limit: int = HEAD_WORDS):
 
 
 def document_sums(docs: DataFrame, id_col: str, text_col: str, words_of, head: dict, rest: DataFrame, value: str,
-                  unknown: float = 0, extra=None) -> DataFrame:
+                  unknown: float = 0, extra=None, per_batch=None) -> DataFrame:
     """Per input row: ``id_col``, ``n_bytes``, ``n_words``, ``found`` (the words that
     have a value) and ``total`` (the sum of their values, ``unknown`` for others).
 
-    ``extra(text)`` is added to ``total``.  Null texts are empty texts.  A row is
+    ``extra(text)`` is added to ``total``; ``per_batch(batch)`` gives a double per row
+    of an Arrow batch (row, id, text), returned as ``per_row``.  Null texts are empty texts.  A row is
     told from others by its place in the input, so repeated rows and repeated or
     null ids give a row each.
     """
@@ -106,6 +107,7 @@ def document_sums(docs: DataFrame, id_col: str, text_col: str, words_of, head: d
         values = known.value
         for batch in batches:
             where, words, times, first, base, hits, counts, sizes = [], [], [], [], [], [], [], []
+            per_row = pa.array(per_batch(batch) if per_batch else [0.0] * batch.num_rows, pa.float64())
             for k, text in enumerate(batch.column(2)):
                 text = text.as_py() or ""
                 bag = words_of(text)
@@ -133,18 +135,19 @@ def document_sums(docs: DataFrame, id_col: str, text_col: str, words_of, head: d
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(words, pa.string()),
                  pa.array(times, pa.int64()), pa.array(first, pa.int32()), pa.array(base, arrow),
-                 pa.array(hits, pa.int64()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())],
-                ["_row", "_id", "word", "_times", "_first", "_base", "_hits", "_words", "_bytes"],
+                 pa.array(hits, pa.int64()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64()),
+                 per_row.take(at)],
+                ["_row", "_id", "word", "_times", "_first", "_base", "_hits", "_words", "_bytes", "_per_row"],
             )
 
     rows = slim.mapInArrow(
         run, f"_row long, _id {id_type}, word string, _times long, _first int, _base {kind}, _hits long, "
-        "_words long, _bytes long",
+        "_words long, _bytes long, _per_row double",
     ).select(
         "_row", "word", "_times",
         # a document without rest words has no word to meet: spread by its row
         F.when(F.col("word").isNull(), F.col("_row")).otherwise(F.lit(-1)).alias("_salt"),
-        F.when(F.col("_first") == 1, F.struct("_id", "_base", "_hits", "_words", "_bytes")).alias("_doc"),
+        F.when(F.col("_first") == 1, F.struct("_id", "_base", "_hits", "_words", "_bytes", "_per_row")).alias("_doc"),
     )
     table = rest.select("word", F.lit(-1).cast("long").alias("_salt"), F.col(value).alias("_value"))
     joined = rows.withColumn("word", F.coalesce("word", F.lit(""))).join(table, ["word", "_salt"], "left")
@@ -158,6 +161,6 @@ def document_sums(docs: DataFrame, id_col: str, text_col: str, words_of, head: d
         .select(
             F.col("_doc._id").alias(id_col), F.col("_doc._bytes").alias("n_bytes"),
             F.col("_doc._words").alias("n_words"), (F.col("_doc._hits") + F.col("_met")).alias("found"),
-            (F.col("_doc._base") + F.col("_rest")).alias("total"),
+            (F.col("_doc._base") + F.col("_rest")).alias("total"), F.col("_doc._per_row").alias("per_row"),
         )
     )

@@ -9,6 +9,7 @@ from vigil.llm import oracles
 from vigil.llm.bpe import encode_decode
 from vigil.llm.html_text import extract
 from vigil.llm.line_dedup import dedup_lines
+from vigil.llm.mixing import score
 from vigil.llm.nearest import nearest
 from vigil.llm.packing import pack
 from vigil.llm.quality import judge
@@ -42,6 +43,10 @@ def op4_token_counts(spark, sf_dir):
     return token_counts(_read(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
 
 
+def op5_lm_score(spark, sf_dir):
+    return score(_read(spark, sf_dir, "documents"))
+
+
 def op6_neighbours(spark, sf_dir):
     return nearest(_read(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
 
@@ -70,6 +75,7 @@ def queries() -> dict:
         "op2_quality": op2_quality,
         "op3_bpe": op3_bpe,
         "op4_token_counts": op4_token_counts,
+        "op5_lm_score": op5_lm_score,
         "op6_neighbours": op6_neighbours,
         "op7_warc": op7_warc,
         "op8_packing": op8_packing,
