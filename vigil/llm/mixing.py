@@ -45,7 +45,7 @@ SLICE = 1 << 14
 #: Steps of the map, symbols worked on at once, learning rates of mixer and text.
 STEPS = 65
 CHUNK_SYMBOLS = 1_000_000
-MIXER_RATE = 0.02
+MIXER_RATE = 0.005
 GATES = 8  # per node: which of the contexts are known
 TEXT_RATE = 0.002
 #: One in so many of the training documents teaches the mixer and the map.
@@ -261,7 +261,7 @@ class Model:
                 error = bit - 1 / (1 + np.exp(-dot))
                 times = np.bincount(gate, minlength=gates)
                 seen += times
-                rate = np.minimum(MIXER_RATE, 0.5 / np.maximum(times, 1))
+                rate = np.minimum(MIXER_RATE, 0.05 / np.maximum(times, 1))
                 for c, odds in enumerate(inputs):
                     self.weights[c] += rate / 256**2 * np.bincount(gate, error * odds, gates)
                 self.weights[CONTEXTS] += 0.1 * rate * np.bincount(gate, error, gates)

@@ -69,8 +69,15 @@ def op10_html_text(spark, sf_dir):
     return extract(_read(spark, sf_dir, "pages"))
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
+        "pipeline": pipeline,
         "op1_simhash": op1_simhash,
         "op2_quality": op2_quality,
         "op3_bpe": op3_bpe,
