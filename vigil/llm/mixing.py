@@ -4,7 +4,7 @@ A text is the sequence of its words, lower-cased (A-Z), joined by single spaces
 and closed by an end symbol.  A symbol is coded as decisions on the way down a
 Huffman tree of the training symbols, and every decision (bit) is predicted:
 
-1. several *hashed-context predictors* - the last two symbols, the last three, and
+1. several *hashed-context predictors* - the last three symbols, the last five, and
    the word so far - each look up (context, tree node) in a table
    of how often the bit was 0 and 1 in training texts;
 2. a *gated mixer* adds their log odds with weights chosen by the tree node and by
@@ -38,6 +38,7 @@ from vigil.llm.lookup import document_sums, split_head, word_counts
 
 END = 256  # the symbol after the last word
 SYMBOLS = 257
+ORDERS = (3, 5)  # lengths of the contexts of symbols; the word so far is one more
 CONTEXTS = 3
 #: Slots per context and per slice of a table that is added up at once.
 SLOT_BITS = 21
@@ -45,7 +46,7 @@ SLICE = 1 << 14
 #: Steps of the map, symbols worked on at once, learning rates of mixer and text.
 STEPS = 65
 CHUNK_SYMBOLS = 1_000_000
-MIXER_RATE = 0.005
+MIXER_RATE = 0.02
 GATES = 8  # per node: which of the contexts are known
 TEXT_RATE = 0.002
 #: One in so many of the training documents teaches the mixer and the map.
@@ -121,13 +122,13 @@ def _contexts(symbols: list[np.ndarray]):
     value = x.astype(np.uint64) + np.uint64(1)
     contexts = np.empty((CONTEXTS, len(x)), np.uint64)
     run = np.zeros(len(x), np.uint64)
-    for back in range(1, 4):
+    for back in range(1, max(ORDERS) + 1):
         before = np.zeros(len(x), np.uint64)
         before[back:] = value[:-back]
         before[place < back] = 0  # nothing comes before a text
         run = (run + before) * _A + _B
-        if back > 1:
-            contexts[back - 2] = run
+        if back in ORDERS:
+            contexts[ORDERS.index(back)] = run
     # the word so far: a polynomial hash since its first symbol, by differences of prefix sums
     begins = (place == 0) | np.concatenate(([True], x[:-1] == 32))
     first = np.maximum.accumulate(np.where(begins, np.arange(len(x)), 0))
@@ -261,7 +262,7 @@ class Model:
                 error = bit - 1 / (1 + np.exp(-dot))
                 times = np.bincount(gate, minlength=gates)
                 seen += times
-                rate = np.minimum(MIXER_RATE, 0.05 / np.maximum(times, 1))
+                rate = np.minimum(MIXER_RATE, 0.1 / np.maximum(times, 1))
                 for c, odds in enumerate(inputs):
                     self.weights[c] += rate / 256**2 * np.bincount(gate, error * odds, gates)
                 self.weights[CONTEXTS] += 0.1 * rate * np.bincount(gate, error, gates)
