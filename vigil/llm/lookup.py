@@ -27,43 +27,34 @@ HEAD_WORDS = 131_072
 HEAD_BYTES = 64
 
 
-def word_counts(docs: DataFrame, text_col: str, words_of, part: str = "true") -> DataFrame:
-    """(word, n, n_part) over all documents: how often each distinct word occurs, and
-    how often in documents for which the SQL predicate ``part`` holds.
+def word_counts(docs: DataFrame, text_col: str, words_of) -> DataFrame:
+    """(word, n): how often each distinct word occurs in all documents.
 
     ``words_of(text)`` gives a text's words; null texts are skipped.  Each task
-    counts its own blocks first, so a frequent word is one row per block.
+    counts its own documents first, so a frequent word is one row per task and
+    half a million distinct words.
     """
-    slim = docs.select(F.col(text_col).cast("string").alias("_text"), F.expr(part).alias("_in"))
+    slim = docs.select(F.col(text_col).cast("string").alias("_text"))
 
     def run(batches):
-        everywhere, inside = Counter(), Counter()
+        counts: Counter = Counter()
 
         def out():
-            words = list(everywhere)
             return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string()), pa.array([everywhere[w] for w in words], pa.int64()),
-                 pa.array([inside[w] for w in words], pa.int64())],
-                ["word", "n", "n_part"],
+                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"]
             )
 
         for batch in batches:
-            for text, flag in zip(batch.column(0), batch.column(1)):
+            for text in batch.column(0):
                 text = text.as_py()
                 if text:
-                    words = words_of(text)
-                    everywhere.update(words)
-                    if flag.as_py():
-                        inside.update(words)
-                if len(everywhere) > 500_000:
+                    counts.update(words_of(text))
+                if len(counts) > 500_000:
                     yield out()
-                    everywhere, inside = Counter(), Counter()
+                    counts = Counter()
         yield out()
 
-    return (
-        slim.mapInArrow(run, "word string, n long, n_part long")
-        .groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_part").alias("n_part"))
-    )
+    return slim.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def split_head(table: DataFrame, value: str, limit: int = HEAD_WORDS):

@@ -45,7 +45,7 @@ SLOT_BITS = 21
 SLICE = 1 << 14
 #: Steps of the map, symbols worked on at once, learning rates of mixer and text.
 STEPS = 65
-CHUNK_SYMBOLS = 1_000_000
+CHUNK_SYMBOLS = 400_000
 MIXER_RATE = 0.02
 GATES = 8  # per node: which of the contexts are known
 TEXT_RATE = 0.002
@@ -98,7 +98,10 @@ class Tree:
                 self.node[d, s], self.bit[d, s] = node, bit
         self.nodes = made
         self.mark = self.node.astype(np.uint64) * _C
-        self.bit = self.bit.astype(np.int64)
+        self.gate = self.node.astype(np.int64) * GATES
+        self.cell = self.node.astype(np.int64) * STEPS
+        self.sign = 2 * self.bit.astype(np.float32) - 1
+        self.half = self.bit.astype(np.int64) << SLOT_BITS  # ones are counted behind the zeros
 
     def walk(self, x, among=None):
         """(depth, places, symbols) of the symbols that have a node at that depth."""
@@ -161,7 +164,7 @@ def _chunks(batches, column: int):
 
 
 def symbol_counts(words: DataFrame, texts: int) -> np.ndarray:
-    """Counts of all symbols in the training texts, from their (word, n_part)."""
+    """Counts of all symbols in the training texts, from their (word, n)."""
 
     def run(batches):
         total = np.zeros(SYMBOLS, np.int64)
@@ -171,7 +174,7 @@ def symbol_counts(words: DataFrame, texts: int) -> np.ndarray:
                 total[32] += n.as_py()
         yield pa.RecordBatch.from_arrays([pa.array(range(SYMBOLS)), pa.array(total)], ["s", "n"])
 
-    rows = words.where("n_part > 0").select("word", "n_part").mapInArrow(run, "s long, n long")
+    rows = words.select("word", "n").mapInArrow(run, "s long, n long")
     counts = np.zeros(SYMBOLS, np.int64)
     for r in rows.groupBy("s").agg(F.sum("n").alias("n")).collect():
         counts[r["s"]] = r["n"]
@@ -195,7 +198,7 @@ def context_tables(texts: DataFrame, tree: Tree) -> DataFrame:
                 x, _, _, contexts = _contexts(symbols)
                 for c in range(CONTEXTS):
                     slots = [
-                        _slots(contexts[c].take(at), tree.mark[d].take(s)) + tree.bit[d].take(s) * (1 << SLOT_BITS)
+                        _slots(contexts[c].take(at), tree.mark[d].take(s)) + tree.half[d].take(s)
                         for d, at, s in tree.walk(x)
                     ]
                     n[c] += np.bincount(np.concatenate(slots), minlength=2 << SLOT_BITS).astype(np.int32)
@@ -236,13 +239,13 @@ class Model:
         self.map = np.tile(np.linspace(-8, 8, STEPS, dtype=np.float32), (tree.nodes, 1))
 
     def bits(self, contexts, d, at, s):
-        """Inputs (one array per context), gates and bits of the symbols ``s`` at places ``at``."""
+        """Inputs (one array per context) and gates of the symbols ``s`` at places ``at``."""
         mark = self.tree.mark[d].take(s)
         inputs = [t.take(_slots(c.take(at), mark)).astype(np.float32) for t, c in zip(self.tables, contexts)]
-        gate = self.tree.node[d].take(s).astype(np.int64) * GATES
+        gate = self.tree.gate[d].take(s)
         for c, odds in enumerate(inputs):
             gate += (odds != 0).view(np.int8) << c
-        return inputs, gate, self.tree.bit[d].take(s)
+        return inputs, gate
 
     def mix(self, inputs, gate):
         """Log odds by the gates' weights; inputs are log odds times 256."""
@@ -257,8 +260,9 @@ class Model:
         block, gates = 4096, self.weights.shape[1]
         for begin in range(0, len(x), block):
             for d, at, s in self.tree.walk(x, np.arange(begin, min(len(x), begin + block))):
-                inputs, gate, bit = self.bits(contexts, d, at, s)
+                inputs, gate = self.bits(contexts, d, at, s)
                 dot = np.clip(self.mix(inputs, gate), -30, 30)
+                bit = self.tree.bit[d].take(s)
                 error = bit - 1 / (1 + np.exp(-dot))
                 times = np.bincount(gate, minlength=gates)
                 seen += times
@@ -266,11 +270,13 @@ class Model:
                 for c, odds in enumerate(inputs):
                     self.weights[c] += rate / 256**2 * np.bincount(gate, error * odds, gates)
                 self.weights[CONTEXTS] += 0.1 * rate * np.bincount(gate, error, gates)
-                cell = (gate // GATES * STEPS + self.step(dot)) * 2 + bit
+                cell = (self.tree.cell[d].take(s) + self.step(dot)) * 2 + bit
                 count += np.bincount(cell, minlength=count.size).reshape(count.shape)
 
     def step(self, dot):
-        return np.rint((np.clip(dot, -8, 8) + 8) * ((STEPS - 1) / 16)).astype(np.int64)
+        """The step of the map nearest to log odds ``dot``, between -8 and 8."""
+        scaled = dot * ((STEPS - 1) / 16) + STEPS / 2
+        return np.clip(scaled, 0, STEPS - 1, out=scaled).astype(np.int64)
 
     def score(self, symbols: list[np.ndarray]) -> np.ndarray:
         """The log10 probability of every text."""
@@ -284,19 +290,23 @@ class Model:
             border *= 2
         refined = self.map.ravel()
         for now in range(int(level.max()) + 1):
-            slope, bits = np.zeros(n), np.zeros(n)
-            for d, at, s in self.tree.walk(x, np.flatnonzero(level == now)):
-                inputs, gate, bit = self.bits(contexts, d, at, s)
-                of = text.take(at)
+            part = np.flatnonzero(level == now)
+            bits = np.bincount(text[part], self.tree.depth[x[part]], n)
+            slope = np.zeros(n)
+            for d, at, s in self.tree.walk(x, part):
+                inputs, gate = self.bits(contexts, d, at, s)
+                of, sign = text.take(at), self.tree.sign[d].take(s)
                 mixed = self.mix(inputs, gate)
-                dot = np.clip(mixed * scale.take(of), -30, 30)
-                odds = 0.5 * (dot + refined.take(gate // GATES * STEPS + self.step(dot)))
-                sign = (2 * bit - 1).astype(np.float32)
-                # cost and slope of log(1 + exp(-odds * sign))
-                e = np.exp(-odds * sign)
+                dot = mixed * scale.take(of)
+                odds = 0.5 * (dot + refined.take(self.tree.cell[d].take(s) + self.step(dot)))
+                odds *= sign
+                # cost and slope of log(1 + exp(-odds))
+                e = np.exp(np.negative(np.clip(odds, -30, 30, out=odds), out=odds))
                 cost -= np.bincount(of, np.log1p(e), n)
-                slope += np.bincount(of, sign * e / (1 + e) * mixed, n)
-                bits += np.bincount(of, minlength=n)
+                e /= 1 + e
+                e *= sign
+                e *= mixed
+                slope += np.bincount(of, e, n)
             scale += np.minimum(TEXT_RATE, 0.25 / np.maximum(bits, 1)) * slope
             np.clip(scale, 0.5, 2, out=scale)
         return cost / math.log(10)
@@ -365,15 +375,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     fold = f"crc32(cast(coalesce(cast(`{id_col}` as string), '') as binary)) % {folds}"
     held = f"({fold} = {held_out_fold})"
     tune = f"(crc32(cast(concat('tune', coalesce(cast(`{id_col}` as string), '')) as binary)) % {TUNE_PART} = 0)"
-    table = materialize(word_counts(docs, text_col, words_of, part=f"NOT {held}"), "words").where("n_part > 0")
+    table = materialize(word_counts(docs.where(f"NOT {held}"), text_col, words_of), "words")
     texts = docs.where(f"NOT {held}").count()
-    totals = table.agg(F.sum("n_part"), F.count(F.lit(1))).first()
+    totals = table.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens, kinds = (totals[0] or 0) + texts, totals[1] + (texts > 0)
     model = train(docs, text_col, f"NOT {held} AND NOT {tune}", f"NOT {held} AND {tune}",
                   symbol_counts(table, texts))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    values = table.select("word", F.col("n_part").alias("n"), F.log10(F.col("n_part") + 0.5).alias("value"))
+    values = table.select("word", "n", F.log10(F.col("n") + 0.5).alias("value"))
     head, rest = split_head(values, "value")
     end = math.log10(texts + 0.5)
 
