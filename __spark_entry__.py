@@ -10,8 +10,9 @@ same text in Spark and DuckDB:
 
 * ``B`` - orders with ``status`` (NULL for 'P') and ``prio`` (NULL for '5-LOW');
 * ``S`` - lineitem as an accuracy source (k1, k2, price, qty);
-* ``T`` - lineitem without line 7, line-3 prices and line-5 quantities lowered
-  by 1, as the accuracy target.
+* ``T`` - lineitem with line 7 under other keys (so either side has keys that the
+  other lacks), line-3 prices and line-5 quantities lowered by 1, as the accuracy
+  target.
 
 Not registered (see README): ``literal_rows`` reads no table, and
 ``jdbc_roundtrip`` would need a database.
@@ -34,7 +35,7 @@ if HERE not in sys.path:  # the package sits next to this file
 from vigil.functions.rules import Rule  # noqa: E402
 from vigil.operators import accuracy as acc  # noqa: E402
 from vigil.operators import completeness as comp  # noqa: E402
-from vigil.operators.timeliness import timeliness  # noqa: E402
+from vigil.operators.timeliness import on_time_rows, timeliness  # noqa: E402
 from vigil.plans.catalog import load_catalog  # noqa: E402
 from vigil.plans.runner import run  # noqa: E402
 from vigil.sources.sinks import COMPLETENESS_TABLE, PathSink, accuracy_table, shared_dir  # noqa: E402
@@ -54,12 +55,11 @@ B_COLS = [
 ]
 S_COLS = ["l_partkey AS k1", "l_suppkey AS k2", "l_extendedprice AS price", "l_quantity AS qty"]
 T_COLS = [
-    "l_partkey AS k1",
+    "CASE WHEN l_linenumber = 7 THEN -l_partkey ELSE l_partkey END AS k1",
     "l_suppkey AS k2",
     "CASE WHEN l_linenumber = 3 THEN l_extendedprice - 1 ELSE l_extendedprice END AS price",
     "CASE WHEN l_linenumber = 5 THEN l_quantity - 1 ELSE l_quantity END AS qty",
 ]
-T_WHERE = "l_linenumber <> 7"
 
 # Completeness rules on B - (rule key = column, Spark predicate, DuckDB predicate).
 ORDER_RULES = [
@@ -104,7 +104,7 @@ def table_s(spark, sf_dir, lineitem=None):
 
 def table_t(spark, sf_dir, lineitem=None):
     li = lineitem if lineitem is not None else _read(spark, sf_dir, "lineitem")
-    return li.where(T_WHERE).selectExpr(*T_COLS)
+    return li.selectExpr(*T_COLS)
 
 
 def tables_st(spark, sf_dir):
@@ -196,6 +196,22 @@ def q_multi_section_scorecard(spark, sf_dir):
     return _catalog_run(spark, sf_dir, "completeness").completeness
 
 
+def q_multi_section_counts(spark, sf_dir):
+    """The scorecard's counts alone."""
+    run_ = run(load_catalog(CATALOG), _resolver(spark, sf_dir), as_of=AS_OF, measures=("completeness",), invalid=None)
+    return run_.completeness
+
+
+def q_multi_section_profile(spark, sf_dir):
+    """The failing values of all sections, as rows."""
+    return run(load_catalog(CATALOG), _resolver(spark, sf_dir), as_of=AS_OF, measures=("completeness",), invalid=None,
+               profile=True).profile
+
+
+def q_on_time_rows(spark, sf_dir):
+    return on_time_rows(table_b(spark, sf_dir), "o_orderdate", "days:-1", AS_OF).select("o_orderkey", "o_orderdate")
+
+
 def q_multi_section_timeliness(spark, sf_dir):
     return _catalog_run(spark, sf_dir, "timeliness").timeliness
 
@@ -213,7 +229,7 @@ def q_completeness_sink(spark, sf_dir):
 def q_accuracy_sink(spark, sf_dir):
     sink = _fresh_sink(spark)
     name = accuracy_table("lineitem_s", "lineitem_t")
-    sink.append(_catalog_run(spark, sf_dir, "accuracy").accuracy[name], name)
+    sink.append(_catalog_run(spark, sf_dir, "accuracy").accuracy_tables()[name], name)
     return sink.read(spark, name)
 
 
@@ -334,6 +350,9 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "accuracy_multi_agg": q_accuracy_multi_agg,
         "accuracy_report": q_accuracy_report,
         "multi_section_scorecard": q_multi_section_scorecard,
+        "multi_section_counts": q_multi_section_counts,
+        "multi_section_profile": q_multi_section_profile,
+        "on_time_rows": q_on_time_rows,
         "multi_section_timeliness": q_multi_section_timeliness,
         "completeness_sink": q_completeness_sink,
         "accuracy_sink": q_accuracy_sink,
@@ -370,7 +389,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _B = f"(SELECT {', '.join(B_COLS)} FROM orders)"
 _S = f"(SELECT {', '.join(S_COLS)} FROM lineitem)"
-_T = f"(SELECT {', '.join(T_COLS)} FROM lineitem WHERE {T_WHERE})"
+_T = f"(SELECT {', '.join(T_COLS)} FROM lineitem)"
 
 
 def _q(s: str) -> str:
@@ -488,6 +507,19 @@ def core_oracle_sql() -> dict[str, str]:
         ),
         "accuracy_report": report,
         "multi_section_scorecard": multi,
+        "multi_section_counts": (
+            'SELECT "database", "table", "column", count_data, count_valid, percentage_valid FROM (' + multi + ")"
+        ),
+        "multi_section_profile": (
+            "SELECT 'tpch' AS \"database\", 'orders_b' AS \"table\", * FROM (" + profile + ") UNION ALL "
+            "SELECT 'tpch', 'customer', * FROM (" + "\nUNION ALL\n".join(
+                f"SELECT {_q(n)} AS column_name, coalesce(CAST({n} AS VARCHAR), 'NULL') AS value, count(*) AS \"count\" "
+                f"FROM customer WHERE NOT ({p}) GROUP BY 2" for n, p in CUSTOMER_RULES_DUCK
+            ) + ")"
+        ),
+        "on_time_rows": (
+            f"SELECT o_orderkey, o_orderdate FROM {_B} WHERE CAST(o_orderdate AS DATE) = DATE '1998-10-03'"
+        ),
         "multi_section_timeliness": _timeliness_sql(),
         "completeness_sink": multi,
         "accuracy_sink": report,

@@ -95,7 +95,7 @@ def test_run_and_write(spark, sites, tmp_path):
     assert len(card) == len(SITE_RULES)  # dq_pair has no completeness rules
     assert res.timeliness.collect()[0]["timeliness_pct"] == 50.0
     name = accuracy_table("src", "tgt")
-    assert set(res.accuracy) == {name}
+    assert set(res.accuracy_tables()) == {name}
     sink = PathSink(str(tmp_path / "results"))
     write(res, sink)
     write(res, sink)  # append
@@ -152,3 +152,41 @@ def test_empty_section_and_empty_file():
     assert parse_catalog(None) == []
     (sec,) = parse_catalog({"dq_empty": None, "_anchor": {"x": 1}})
     assert sec.name == "dq_empty" and sec.target is None and sec.completeness == []
+
+
+def test_sections_that_share_a_result_table(spark, tmp_path):
+    import copy
+    import dataclasses
+
+    import pytest
+
+    config = _config()
+    pair = config["dq_pair"]
+    again = copy.deepcopy(pair)
+    schema = "lac int, ci int, lon double"
+    one = spark.createDataFrame([(1, 1, 1.0)], schema)
+    two = spark.createDataFrame([(2, 2, 5.0), (3, 3, 1.0)], schema)
+    sections = parse_catalog({"dq_pair": pair, "dq_again": again})
+    other = sections[1]
+    move = lambda ref: dataclasses.replace(ref, database="elsewhere")
+    sections[1] = dataclasses.replace(other, source=move(other.source), target=move(other.target))
+    tables = {"stage.src": one, "ods.tgt": one, "elsewhere.src": two, "elsewhere.tgt": two}
+    res = run(sections, MappedTables(tables), measures=("accuracy",))
+    sink = PathSink(str(tmp_path / "both"))
+    write(res, sink)
+    assert sorted(r["lac"] for r in sink.read(spark, accuracy_table("src", "tgt")).collect()) == [1, 2, 3]
+    res.accuracy[1] = (*res.accuracy[1][:2], res.accuracy[1][2].withColumn("extra", res.accuracy[1][2]["lac"]))
+    with pytest.raises(ValueError, match="dq_pair.*dq_again"):
+        res.accuracy_tables()
+
+
+def test_counts_and_profile_as_two_tables(spark, sites, tmp_path):
+    sections = [s for s in parse_catalog(_config()) if s.completeness]
+    res = run(sections, MappedTables({"ods.sites": sites}), measures=("completeness",), invalid=None,
+              profile=True)
+    sink = PathSink(str(tmp_path / "two"))
+    write(res, sink)
+    assert "data_invalid" not in sink.read(spark, COMPLETENESS_TABLE).columns
+    rows = sink.read(spark, "completeness_profile").collect()
+    assert {(r["database"], r["table"]) for r in rows} == {("ods", "sites")}
+    assert ("site_name", "NULL", 1) in {(r["column_name"], r["value"], r["count"]) for r in rows}

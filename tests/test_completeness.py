@@ -86,20 +86,20 @@ def test_two_rules_on_one_column(spark):
     assert json.loads(card["x_small"]["data_invalid"]) == [{"value": "5", "count": 1}]
 
 
-def _loop_form(df, rules):
-    """Per-rule brute force: filter, count, group - one rule at a time."""
-    out = {}
-    n = df.count()
-    for name, pred in rules.items():
-        bad = df.filter(f"NOT ({pred})")
-        groups = (
-            bad.select(F.coalesce(F.col(name).cast("string"), F.lit("NULL")).alias("value"))
-            .groupBy("value").count().collect()
-        )
-        ordered = sorted(((-g["count"], g["value"]) for g in groups))
-        text = json.dumps([{"value": v, "count": -c} for c, v in ordered], separators=(",", ":"))
-        out[name] = (n, n - bad.count(), text)
-    return out
+def _expected_card(rows):
+    """What the two rules below find in (x, s) rows, in plain Python."""
+    from collections import Counter
+
+    tests = {
+        "x": (0, lambda x: -2 <= x <= 2),
+        "s": (1, lambda s: s.startswith("a")),
+    }
+    card = {}
+    for name, (at, holds) in tests.items():
+        broken = Counter(str(r[at]) for r in rows if r[at] is not None and not holds(r[at]))
+        listed = [{"value": v, "count": c} for v, c in sorted(broken.items(), key=lambda e: (-e[1], e[0]))]
+        card[name] = (len(rows), len(rows) - sum(broken.values()), json.dumps(listed, separators=(",", ":")))
+    return card
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -109,11 +109,11 @@ def _loop_form(df, rules):
         max_size=40,
     )
 )
-def test_single_pass_equals_loop(spark, data):
+def test_single_pass_equals_definition(spark, data):
     df = spark.createDataFrame(data, "x int, s string")
     rules = {"x": "x BETWEEN -2 AND 2", "s": "s LIKE 'a%'"}
     got = {r["column"]: (r["count_data"], r["count_valid"], r["data_invalid"]) for r in C.scorecard(df, rules).collect()}
-    assert got == _loop_form(df, rules)
+    assert got == _expected_card(data)
     prof = C.invalid_value_profile(df, rules).collect()
     for name in rules:
         n, valid, _ = got[name]
@@ -157,14 +157,24 @@ def test_counts_only_scorecard_matches(sites):
     assert {r["column"]: tuple(r) for r in lean.collect()} == full
 
 
-def test_many_rules_split_into_passes(spark, monkeypatch):
-    monkeypatch.setattr(C, "RULES_PER_PASS", 3)
-    df = spark.createDataFrame([(i, f"s{i % 4}") for i in range(40)], "x int, s string")
-    rules = [Rule(f"x{i}", f"x > {i}", column="x") for i in range(5)] + [Rule("s", "s <> 's1'")]
-    got = {r["column"]: (r["count_data"], r["count_valid"], r["data_invalid"]) for r in C.scorecard(df, rules).collect()}
-    monkeypatch.setattr(C, "RULES_PER_PASS", 100)
-    want = {r["column"]: (r["count_data"], r["count_valid"], r["data_invalid"]) for r in C.scorecard(df, rules).collect()}
-    assert got == want and got["s"][:2] == (40, 30)
+def test_many_rules_share_one_scan(spark, tmp_path):
+    spark.range(500).selectExpr("CAST(id AS INT) AS x").write.parquet(str(tmp_path / "t"))
+    rules = [Rule(f"x{i}", f"x > {i}", column="x") for i in range(250)]
+    profile = C.invalid_value_profile(spark.read.parquet(str(tmp_path / "t")), rules)
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    rows = profile.collect()
+    assert len(rows) == sum(i + 1 for i in range(250)) and all(r["count"] == 1 for r in rows)
+
+
+def test_text_profiles_read_the_table_once(spark, tmp_path):
+    spark.range(50).selectExpr("CAST(id % 7 AS INT) AS x").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for profile in (C.invalid_profile_json, C.invalid_distinct_values):
+        plan = profile(df, {"x": "x > 3"})._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1
+    assert C.invalid_distinct_values(df, {"x": "x > 3 -- floor"}).collect()[0]["distinct_invalid"] == "0|1|2|3"
+    assert C.invalid_profile_json(df, {"x": "x >= 0"}).collect()[0]["data_invalid"] == "[]"
 
 
 def test_null_and_label_text_are_one_value(spark):

@@ -48,15 +48,15 @@ def test_violation_filters_reach_the_scan(spark):
         ("rule_between", "o_totalprice"),
         ("filter_gt", "GreaterThan(o_totalprice,400000.0)"),
     ):
-        df = E.queries()[key](spark, SF_SMALL)
+        df = E.core_queries()[key](spark, SF_SMALL)
         plan = df._jdf.queryExecution().executedPlan().toString()
         m = re.search(r"PushedFilters: \[([^\]]*)\]", plan)
         assert m and pushed in m.group(1), (key, plan)
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.core_queries()))
 def test_no_python_in_plans(spark, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = E.core_queries()[key](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(n in plan for n in PYTHON_NODES), plan
 

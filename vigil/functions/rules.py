@@ -78,6 +78,11 @@ def predicate(rule: Rule | str) -> Column:
     return F.expr(text)
 
 
+def closed(rule: Rule | str) -> str:
+    """The predicate's text for use inside longer SQL: a line end closes a trailing comment."""
+    return (rule.predicate if isinstance(rule, Rule) else rule) + "\n"
+
+
 def violated(rule: Rule | str) -> Column:
     """TRUE exactly when the predicate is FALSE; NULL predicate -> NULL (not a violation)."""
     return ~predicate(rule)
@@ -86,7 +91,7 @@ def violated(rule: Rule | str) -> Column:
 def violated_text(rule: Rule | str) -> str:
     """Text form of :func:`violated`, for ``DataFrame.filter(str)``."""
     text = rule.predicate if isinstance(rule, Rule) else rule
-    return f"NOT ({text})"
+    return f"NOT ({closed(text)})"
 
 
 def flag(rule: Rule | str) -> Column:

@@ -29,7 +29,9 @@ Plans (all rules at once, never one pass per rule):
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +48,32 @@ AGGREGATES = {"max": F.max, "sum": F.sum}
 CHUNK_ROWS = 100_000
 
 
+def _number(value) -> str:
+    """A threshold as an SQL literal; numeric text (YAML reads 2e-2 as text) counts as its number."""
+    if isinstance(value, str):
+        value = Decimal(value.strip())
+    if isinstance(value, bool) or not isinstance(value, (int, float, Decimal)) or not math.isfinite(value):
+        raise ValueError(f"a threshold must be a finite number, not {value!r}")
+    if isinstance(value, float):
+        return f"CAST({value!r} AS DOUBLE)"
+    return format(value, "f") if isinstance(value, Decimal) else str(value)
+
+
+def _named(df: DataFrame, name: str) -> str:
+    """The name of the column that Spark would take for ``name``: case counts only where
+    the session says so."""
+    if name in df.columns or df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true":
+        return name
+    hits = [c for c in df.columns if c.lower() == name.lower()]
+    return hits[0] if len(hits) == 1 else name
+
+
+def _aligned(df: DataFrame, names) -> DataFrame:
+    """``df`` with each of ``names`` spelled as given."""
+    found = {_named(df, n): n for n in names}
+    return df.select(*[F.col(_q(c)).alias(found.get(c, c)) for c in df.columns])
+
+
 @dataclass(frozen=True)
 class AccuracyRule:
     name: str
@@ -60,6 +88,7 @@ class AccuracyRule:
             raise ValueError(
                 f"accuracy rule {self.name!r}: unknown aggfunc {self.aggfunc!r}; expected one of {sorted(AGGREGATES)}"
             )
+        _number(self.threshold)
 
     @property
     def source_alias(self) -> str:
@@ -74,25 +103,23 @@ class AccuracyRule:
         return f"{self.target_col}_accuracy"
 
     def source_agg(self) -> Column:
-        return AGGREGATES[self.aggfunc](F.col(self.source_col)).alias(self.source_alias)
+        return AGGREGATES[self.aggfunc](F.col(_q(self.source_col))).alias(self.source_alias)
 
     def target_agg(self) -> Column:
-        return AGGREGATES[self.aggfunc](F.col(self.target_col)).alias(self.target_alias)
+        return AGGREGATES[self.aggfunc](F.col(_q(self.target_col))).alias(self.target_alias)
 
     def check(self, src: Column, tgt: Column) -> Column:
         diff = src - tgt
         if self.absolute:
             diff = F.abs(diff)
-        return diff <= F.lit(self.threshold)
+        return diff <= F.expr(_number(self.threshold))
 
     def check_sql(self, src: str, tgt: str) -> str:
         """:meth:`check` as SQL text over two SQL expressions."""
         diff = f"({src}) - ({tgt})"
         if self.absolute:
             diff = f"abs({diff})"
-        t = self.threshold
-        lit = f"CAST({float(t)!r} AS DOUBLE)" if isinstance(t, float) else str(int(t))
-        return f"{diff} <= {lit}"
+        return f"{diff} <= {_number(self.threshold)}"
 
 
 def as_accuracy_rules(rules) -> list[AccuracyRule]:
@@ -134,7 +161,7 @@ def _validate(source: DataFrame, target: DataFrame, keys: list[str], rules: list
         ("source", source, [r.source_col for r in rules]),
         ("target", target, [r.target_col for r in rules]),
     ):
-        fields = {f.name: f.dataType for f in df.schema.fields}
+        fields = {f.name: f.dataType for f in _aligned(df, [*keys, *cols]).schema.fields}
         for k in keys:
             if k not in fields:
                 raise ValueError(f"{side} has no key column {k!r}")
@@ -156,13 +183,14 @@ def side_aggregates(df: DataFrame, keys, rules, side: str) -> DataFrame:
     keys = parse_keys(keys)
     rules = as_accuracy_rules(rules)
     aggs = [r.source_agg() if side == "source" else r.target_agg() for r in rules]
-    return df.groupBy(*keys).agg(*aggs)
+    cols = [r.source_col if side == "source" else r.target_col for r in rules]
+    return _aligned(df, [*keys, *cols]).groupBy(*map(_q, keys)).agg(*aggs)
 
 
 def _both_sides(source, target, keys, rules):
     s = side_aggregates(source, keys, rules, "source").alias("s")
     t = side_aggregates(target, keys, rules, "target").alias("t")
-    cond = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
+    cond = [F.col(f"s.{_q(k)}") == F.col(f"t.{_q(k)}") for k in keys]
     return s.join(t, cond, "inner")
 
 
@@ -222,14 +250,16 @@ def accuracy_report(
     rules = as_accuracy_rules(rules)
     _validate(source, target, keys, rules, [r.check_alias for r in rules])
 
-    s = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[r.source_agg() for r in rules]).alias("s")
+    source = _aligned(source, [*keys, *(r.source_col for r in rules)])
+    target = _aligned(target, [*keys, *(r.target_col for r in rules)])
+    s = source.groupBy(*map(_q, keys)).agg(F.count(F.lit(1)).alias("_rows"), *[r.source_agg() for r in rules]).alias("s")
     t = (
-        target.groupBy(*keys)
+        target.groupBy(*map(_q, keys))
         .agg(*[r.target_agg() for r in rules])
         .withColumn("_hit", F.lit(True))
         .alias("t")
     )
-    cond = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
+    cond = [F.col(f"s.{_q(k)}") == F.col(f"t.{_q(k)}") for k in keys]
     joined = s.join(t, cond, "left")
 
     out = [f"s.{_q(k)} AS {_q(k)}" for k in keys]
@@ -271,7 +301,7 @@ def _expand(per_key: DataFrame, keys: list[str], rows_col: str, chunk_rows: int,
     parts = partitions or expansion_partitions(per_key.sparkSession)
     return (
         per_key.selectExpr(*names, rows, f"explode(sequence(0, ceil({rows} / {c}) - 1)) AS _chunk")
-        .repartition(parts, *keys, "_chunk")
+        .repartition(parts, *map(_q, keys), "_chunk")
         .selectExpr(*names, f"explode(array_repeat(0, CAST(least({c}, {rows} - _chunk * {c}) AS INT))) AS _r")
         .drop("_r")
     )
@@ -296,9 +326,9 @@ def join_key_rows(key_rows: DataFrame, keyed: DataFrame, keys, how: str = "full_
            "left_outer": "left", "leftouter": "left", "right_outer": "right", "rightouter": "right"}.get(how, how)
     if how not in ("inner", "left", "right", "full_outer"):
         raise ValueError(f"unsupported join type {how!r}")
-    c = key_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).alias("c")
+    c = key_rows.groupBy(*map(_q, keys)).agg(F.count(F.lit(1)).alias("_rows")).alias("c")
     u = keyed.alias("u")
-    j = c.join(u, [F.col(f"c.{k}") == F.col(f"u.{k}") for k in keys], how)
+    j = c.join(u, [F.col(f"c.{_q(k)}") == F.col(f"u.{_q(k)}") for k in keys], how)
     if how in ("inner", "left"):
         out = [f"c.{_q(k)} AS {_q(k)}" for k in keys]
     elif how == "right":

@@ -23,6 +23,7 @@ from vigil.functions.rules import (
     NULL_LABEL,
     Rule,
     as_rules,
+    closed,
     flag,
     null_label,
     sql_ident,
@@ -107,7 +108,7 @@ def completeness_rate(df: DataFrame, rules) -> DataFrame:
     One aggregate for all rules; NULL rate for an empty table.
     """
     rs = as_rules(rules)
-    agg = df.selectExpr("count(1) AS _n", *[f"count_if({r.predicate}) AS _ok{i}" for i, r in enumerate(rs)])
+    agg = df.selectExpr("count(1) AS _n", *[f"count_if({closed(r)}) AS _ok{i}" for i, r in enumerate(rs)])
     rows = ", ".join(
         f"named_struct('column', {sql_string(r.name)}, 'rate', CAST(try_divide(_ok{i}, _n) AS DOUBLE))"
         for i, r in enumerate(rs)
@@ -151,11 +152,6 @@ def _slots(df: DataFrame, rules: list[Rule], label: str) -> tuple[list[str], dic
     return types, where
 
 
-#: Rules per generator.  Far beyond this the generated code of one
-#: expression outgrows the JVM's method size and Spark interprets it instead.
-RULES_PER_PASS = 100
-
-
 def _failure_items(df: DataFrame, rules: list[Rule], first: int, with_total: bool,
                    types: list[str], where: dict) -> DataFrame:
     """(rule, v0..vn): one item per violated rule per row, plus (optionally) a
@@ -179,7 +175,7 @@ def _failure_items(df: DataFrame, rules: list[Rule], first: int, with_total: boo
     items = [item(_TOTAL, None, None)] if with_total else []
     for i, r in enumerate(rules, start=first):
         slot, expr = where[r.target]
-        items.append(f"CASE WHEN NOT ({r.predicate}) THEN {item(i, slot, expr)} END")
+        items.append(f"CASE WHEN NOT ({closed(r)}) THEN {item(i, slot, expr)} END")
     return df.selectExpr(f"inline(array({', '.join(items)}))").where("rule IS NOT NULL")
 
 
@@ -187,22 +183,14 @@ def _long_profile(df: DataFrame, rules: list[Rule], label: str, with_total: bool
     """(rule, value, count).  Floating-point -0.0 and 0.0 (and NaNs) are one value,
     as in any Spark grouping.
 
-    Up to :data:`RULES_PER_PASS` rules share one generator and one aggregate;
-    more rules are cut into such groups whose profiles are unioned.  Each
-    group's scan reads only its own rules' columns (parquet column pruning),
-    so the columns are still read about once in total.
+    All rules share one generator and one aggregate, so one scan, however many
+    there are; the scan reads the rules' columns only.
     """
     types, where = _slots(df, rules, label)
     slots = [f"v{k}" for k in range(len(types))]
     text = ", ".join([f"CAST({v} AS STRING)" for v in slots] + [sql_string(label)])
-    parts = []
-    for start in range(0, len(rules), RULES_PER_PASS):
-        chunk = rules[start:start + RULES_PER_PASS]
-        items = _failure_items(df, chunk, start, with_total and start == 0, types, where)
-        parts.append(items.groupBy("rule", *slots).agg(F.count(F.lit(1)).alias("count")))
-    prof = parts[0]
-    for p in parts[1:]:
-        prof = prof.unionByName(p)
+    items = _failure_items(df, rules, 0, with_total, types, where)
+    prof = items.groupBy("rule", *slots).agg(F.count(F.lit(1)).alias("count"))
     return prof.selectExpr("rule", f"coalesce({text}) AS value", "count")
 
 
@@ -233,16 +221,27 @@ def _distinct_texts(prof: DataFrame, alias: str) -> DataFrame:
     return ordered_concat(prof, group="rule", order=["value"], text="value", sep="|", alias=alias)
 
 
+def _texts_per_rule(df: DataFrame, rules, label: str, texts, column: str, empty: str) -> DataFrame:
+    """(column, <text>) for every rule, from one scan; ``empty`` for a rule that none breaks."""
+    rs = as_rules(rules)
+    found = texts(_long_profile(df, rs, label, with_total=False))
+    names = ", ".join(sql_string(r.name) for r in rs)
+    listed = df.sparkSession.range(1).selectExpr(f"posexplode(array({names})) AS (_no, column)")
+    return listed.join(found, F.col("_no") == F.col("rule"), "left").selectExpr(
+        "column", f"coalesce({column}, {sql_string(empty)}) AS {column}"
+    )
+
+
 def invalid_profile_json(df: DataFrame, rules, label: str = NULL_LABEL) -> DataFrame:
     """(column, data_invalid) - the profile of M2 rendered as one JSON text per rule."""
-    card = scorecard(df, rules, label=label)
-    return card.select("column", "data_invalid")
+    return _texts_per_rule(df, rules, label, _json_texts, "data_invalid", "[]")
 
 
 def invalid_distinct_values(df: DataFrame, rules, label: str = NULL_LABEL) -> DataFrame:
     """(column, distinct_invalid) - distinct failing values joined by ``|``; empty text if none."""
-    card = scorecard(df, rules, label=label, invalid="distinct")
-    return card.select("column", "distinct_invalid")
+    return _texts_per_rule(
+        df, rules, label, lambda p: _distinct_texts(p, "distinct_invalid"), "distinct_invalid", ""
+    )
 
 
 def _head(database, table) -> list[str]:
@@ -258,7 +257,7 @@ def _head(database, table) -> list[str]:
 
 
 def _counts_only(df: DataFrame, rules: list[Rule], database, table) -> DataFrame:
-    agg = df.selectExpr("count(1) AS _n", *[f"count_if(NOT ({r.predicate})) AS _b{i}" for i, r in enumerate(rules)])
+    agg = df.selectExpr("count(1) AS _n", *[f"count_if(NOT ({closed(r)})) AS _b{i}" for i, r in enumerate(rules)])
     per_rule = ", ".join(
         f"named_struct('column', {sql_string(r.name)}, 'count_data', _n, 'count_valid', _n - _b{i})"
         for i, r in enumerate(rules)

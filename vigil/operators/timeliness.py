@@ -24,8 +24,8 @@ from vigil.functions.dates import expected_date
 
 
 def _day_matches(df: DataFrame, column: str, expected: Column) -> Column:
-    dtype = df.schema[column].dataType
-    c = F.col(column)
+    c = F.col("`" + column.replace("`", "``") + "`")
+    dtype = df.select(c).schema[0].dataType
     if isinstance(dtype, T.DateType):
         return c == expected
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):

@@ -2,8 +2,8 @@
 
 For every section, each measure is one DataFrame plan; the completeness and
 timeliness rows of all sections are unioned into one DataFrame each, so a
-results table gets one append per run, not one per section or rule.  Nothing
-here runs an action except :func:`write`.
+results table gets one append per run, not one per section or rule.  Only
+:func:`write` runs actions, and :func:`run` where it stages its inputs.
 
 Side choice: completeness and timeliness are measured on the *target* by
 default (``side="source"`` measures the source instead); a measure whose table
@@ -16,20 +16,40 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigil.operators.accuracy import accuracy_report
-from vigil.operators.completeness import scorecard
+from vigil.operators.completeness import invalid_value_profile, scorecard
 from vigil.operators.timeliness import timeliness
 from vigil.plans.catalog import Section
 from vigil.sources.sinks import COMPLETENESS_TABLE, accuracy_table, stage
 from vigil.sources.tables import JdbcTables, resolve
 
+#: Result table of the failing values as rows.
+PROFILE_TABLE = "completeness_profile"
+
 
 @dataclass
 class RunResult:
     completeness: DataFrame | None = None
     timeliness: DataFrame | None = None
-    accuracy: dict = field(default_factory=dict)  # result table name -> DataFrame
+    accuracy: list = field(default_factory=list)  # (result table name, section name, DataFrame)
+    profile: DataFrame | None = None  # failing values as rows, with ``profile=True``
+
+    def accuracy_tables(self) -> dict[str, DataFrame]:
+        """Result table name -> the rows of all reports that go to it.  Sections may share
+        a table if their reports have the same columns; otherwise this raises."""
+        tables, first = {}, {}
+        for name, section, df in self.accuracy:
+            if name not in tables:
+                tables[name], first[name] = df, section
+            elif tables[name].columns != df.columns:
+                raise ValueError(
+                    f"sections {first[name]!r} and {section!r} both write {name!r}, with different columns"
+                )
+            else:
+                tables[name] = tables[name].unionByName(df)
+        return tables
 
 
 def _union(frames: list[DataFrame]) -> DataFrame | None:
@@ -49,6 +69,8 @@ def run(
     invalid: str | None = "json",
     stage_inputs: bool | None = None,
     spark: SparkSession | None = None,
+    profile: bool = False,
+    report_options: dict | None = None,
 ) -> RunResult:
     """Build the plans of every measure of every section.
 
@@ -57,6 +79,11 @@ def run(
     database) is read once and every plan reads the files.  The default
     (``None``) stages exactly when the resolver is :class:`JdbcTables`.
     Staging needs the session (``spark``, or the JDBC resolver's own).
+
+    ``invalid=None`` keeps the scorecard to its counts, and ``profile=True`` gives
+    the failing values as rows (database, table, column_name, value, count) instead
+    of one text per rule: the form for columns with very many failing values, as
+    counts then never wait for a text.  ``report_options`` go to every accuracy report.
     """
     if side not in ("target", "source"):
         raise ValueError("side must be 'target' or 'source'")
@@ -79,22 +106,26 @@ def run(
             loaded[key] = df
         return loaded[key]
 
-    cards, times, acc = [], [], {}
+    cards, profiles, times, acc = [], [], [], []
     for sec in sections:
         ref = sec.target if side == "target" else sec.source
         df = table(ref)
         if "completeness" in measures and sec.completeness and df is not None:
             db, tb = _ref_parts(ref)
             cards.append(scorecard(df, sec.completeness, db, tb, invalid=invalid))
+            if profile:
+                place = [F.lit(db).cast("string").alias("database"), F.lit(tb).cast("string").alias("table")]
+                profiles.append(invalid_value_profile(df, sec.completeness).select(*place, "*"))
         if "timeliness" in measures and sec.timeliness and df is not None:
             db, tb = _ref_parts(ref)
             times.append(
                 timeliness(df, sec.timeliness.date_column, sec.timeliness.offset_days, as_of, db, tb)
             )
         if "accuracy" in measures and sec.accuracy and sec.source is not None and sec.target is not None:
-            report = accuracy_report(table(sec.source), table(sec.target), sec.accuracy.keys, sec.accuracy.rules)
-            acc[accuracy_table(sec.source.table, sec.target.table)] = report
-    return RunResult(_union(cards), _union(times), acc)
+            report = accuracy_report(table(sec.source), table(sec.target), sec.accuracy.keys, sec.accuracy.rules,
+                                     **(report_options or {}))
+            acc.append((accuracy_table(sec.source.table, sec.target.table), sec.name, report))
+    return RunResult(_union(cards), _union(times), acc, _union(profiles))
 
 
 def write(result: RunResult, sink, timeliness_table: str | None = None) -> None:
@@ -104,5 +135,7 @@ def write(result: RunResult, sink, timeliness_table: str | None = None) -> None:
         sink.append(result.completeness, COMPLETENESS_TABLE)
     if timeliness_table and result.timeliness is not None:
         sink.append(result.timeliness, timeliness_table)
-    for name, df in result.accuracy.items():
+    if result.profile is not None:
+        sink.append(result.profile, PROFILE_TABLE)
+    for name, df in result.accuracy_tables().items():
         sink.append(df, name)
