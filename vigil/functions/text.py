@@ -1,7 +1,7 @@
 """Ordered text aggregation that does not funnel a whole group through one task.
 
-The reference renders, per rule, one text holding every distinct failing value
-(a JSON list sorted by count, or a ``|``-joined list).  The text is one cell,
+A rule's failing values can be asked for as one text (a JSON list sorted by count,
+or a ``|``-joined list).  The text is one cell,
 so its final bytes must meet in one place; everything before that is spread:
 
 1. a range-partitioned global sort on (group, order keys) cuts even a single
