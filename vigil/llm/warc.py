@@ -238,7 +238,9 @@ def read_bundles(index: DataFrame, with_payload: bool = False) -> DataFrame:
                             rows.append(row)
                         yield _batch(rows, _RECORDS)
 
-    return index.select("bundle").distinct().mapInArrow(run, _RECORDS)
+    bundles = index.select("bundle").distinct()
+    # a few bundles a task: their names alone are too small for Spark to spread
+    return bundles.repartition(bundles.count() // 4 + 1).mapInArrow(run, _RECORDS)
 
 
 def read_records(index: DataFrame) -> DataFrame:
