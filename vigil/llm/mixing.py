@@ -46,6 +46,8 @@ SLICE = 1 << 14
 #: Steps of the map, symbols worked on at once, learning rates of mixer and text.
 STEPS = 65
 CHUNK_SYMBOLS = 400_000
+#: Decisions whose slots wait to be counted together.
+COUNTED_AT_ONCE = 4_000_000
 MIXER_RATE = 0.02
 GATES = 8  # per node: which of the contexts are known
 TEXT_RATE = 0.002
@@ -53,7 +55,8 @@ TEXT_RATE = 0.002
 TUNE_PART = 32
 FIRST_CHECK = 64
 
-# Odd multipliers of the hashes.
+# Odd multipliers of the hashes; contexts and tree nodes meet in 32 bits.
+_NODE, _SLOT, _SLOT_SHIFT = np.uint32(0x85EBCA6B), np.uint32(0x9E3779B1), np.uint32(32 - SLOT_BITS)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -97,26 +100,27 @@ class Tree:
             for d, (node, bit) in enumerate(path):
                 self.node[d, s], self.bit[d, s] = node, bit
         self.nodes = made
-        self.mark = self.node.astype(np.uint64) * _C
+        self.mark = self.node * _NODE
         self.gate = self.node.astype(np.int64) * GATES
         self.cell = self.node.astype(np.int64) * STEPS
         self.sign = 2 * self.bit.astype(np.float32) - 1
-        self.half = self.bit.astype(np.int64) << SLOT_BITS  # ones are counted behind the zeros
-
-    def walk(self, x, among=None):
-        """(depth, places, symbols) of the symbols that have a node at that depth."""
-        at = np.arange(len(x)) if among is None else among
-        s = x.take(at)
-        for d in range(len(self.node)):
-            deeper = self.depth.take(s) > d
-            at, s = at[deeper], s[deeper]
-            if not len(at):
+        self.half = self.bit.astype(np.uint32) << np.uint32(SLOT_BITS)  # ones are counted behind the zeros
+
+    def deepest_first(self, x):
+        """The places of the symbols ``x``, those with the longest paths first."""
+        return np.argsort(len(self.node) - self.depth.take(x), kind="stable")
+
+    def layers(self, s):
+        """(depth, n): of the symbols ``s``, deepest first, the first n have a node at that depth."""
+        ends = np.bincount(self.depth.take(s), minlength=len(self.node) + 1)
+        for d, n in enumerate(len(s) - np.cumsum(ends)):
+            if not n:
                 return
-            yield d, at, s
+            yield d, n
 
 
 def _contexts(symbols: list[np.ndarray]):
-    """(all symbols, text number of each, place in the text, contexts [CONTEXTS, n])."""
+    """(all symbols, text number of each, place in the text, contexts [CONTEXTS, n] of 32 bits)."""
     lengths = np.array([len(s) for s in symbols])
     x = np.concatenate(symbols)
     text = np.repeat(np.arange(len(symbols), dtype=np.int32), lengths)
@@ -139,13 +143,15 @@ def _contexts(symbols: list[np.ndarray]):
     powers = np.cumprod(np.full(int(offset.max()) + 2, _C, np.uint64))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((value * _B ^ value) * powers[offset])))
     contexts[2] = (sums[:-1] - sums[first]) * _A + powers[offset]
-    contexts ^= contexts >> np.uint64(29)
-    return x, text, place, contexts
+    return x, text, place, (contexts >> np.uint64(32)).astype(np.uint32)
 
 
 def _slots(contexts: np.ndarray, mark: np.ndarray) -> np.ndarray:
     """Slots of contexts at tree nodes, ``mark`` the nodes' hashes."""
-    return (((contexts + mark) * _A) >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+    slots = contexts + mark
+    slots *= _SLOT
+    slots >>= _SLOT_SHIFT
+    return slots
 
 
 def _chunks(batches, column: int):
@@ -192,16 +198,29 @@ def context_tables(texts: DataFrame, tree: Tree) -> DataFrame:
     per_context = (1 << SLOT_BITS) // SLICE
 
     def count(batches):
-        n = np.zeros((CONTEXTS, 2 << SLOT_BITS), np.int32)
+        n, size = np.zeros((CONTEXTS, 2 << SLOT_BITS), np.int32), 0
+        waiting: list[list[np.ndarray]] = [[] for _ in range(CONTEXTS)]
+
+        def settle():
+            for total, slots in zip(n, waiting):
+                if slots:
+                    total += np.bincount(np.concatenate(slots), minlength=len(total)).astype(np.int32)
+                    slots.clear()
+
         for batch in batches:
             for _, symbols in _chunks(batch, 0):
                 x, _, _, contexts = _contexts(symbols)
-                for c in range(CONTEXTS):
-                    slots = [
-                        _slots(contexts[c].take(at), tree.mark[d].take(s)) + tree.half[d].take(s)
-                        for d, at, s in tree.walk(x)
-                    ]
-                    n[c] += np.bincount(np.concatenate(slots), minlength=2 << SLOT_BITS).astype(np.int32)
+                order = tree.deepest_first(x)
+                s, contexts = x.take(order).astype(np.intp), contexts.take(order, axis=1)
+                for d, many in tree.layers(s):
+                    mark, half = tree.mark[d].take(s[:many]), tree.half[d].take(s[:many])
+                    for c in range(CONTEXTS):
+                        waiting[c].append(_slots(contexts[c, :many], mark) + half)
+                    size += int(many)
+                if size >= COUNTED_AT_ONCE:
+                    settle()
+                    size = 0
+        settle()
         flat = n.reshape(CONTEXTS, 2, per_context, SLICE).transpose(1, 0, 2, 3).reshape(2, -1, SLICE)
         for k in range(CONTEXTS * per_context):
             if flat[:, k].any():
@@ -238,13 +257,15 @@ class Model:
         self.weights[CONTEXTS] = 0
         self.map = np.tile(np.linspace(-8, 8, STEPS, dtype=np.float32), (tree.nodes, 1))
 
-    def bits(self, contexts, d, at, s):
-        """Inputs (one array per context) and gates of the symbols ``s`` at places ``at``."""
+    def bits(self, contexts, d, s):
+        """Inputs (one array per context) and gates of the symbols ``s`` in their ``contexts``."""
         mark = self.tree.mark[d].take(s)
-        inputs = [t.take(_slots(c.take(at), mark)).astype(np.float32) for t, c in zip(self.tables, contexts)]
         gate = self.tree.gate[d].take(s)
-        for c, odds in enumerate(inputs):
+        inputs = []
+        for c, table in enumerate(self.tables):
+            odds = table.take(_slots(contexts[c, :len(s)], mark))
             gate += (odds != 0).view(np.int8) << c
+            inputs.append(odds.astype(np.float32))
         return inputs, gate
 
     def mix(self, inputs, gate):
@@ -259,8 +280,12 @@ class Model:
         of each step of the map, ``seen`` the bits of each gate."""
         block, gates = 4096, self.weights.shape[1]
         for begin in range(0, len(x), block):
-            for d, at, s in self.tree.walk(x, np.arange(begin, min(len(x), begin + block))):
-                inputs, gate = self.bits(contexts, d, at, s)
+            order = self.tree.deepest_first(x[begin:begin + block])
+            every = x[begin:begin + block].take(order).astype(np.intp)
+            here = contexts[:, begin:begin + block].take(order, axis=1)
+            for d, n in self.tree.layers(every):
+                s = every[:n]
+                inputs, gate = self.bits(here, d, s)
                 dot = np.clip(self.mix(inputs, gate), -30, 30)
                 bit = self.tree.bit[d].take(s)
                 error = bit - 1 / (1 + np.exp(-dot))
@@ -270,8 +295,7 @@ class Model:
                 for c, odds in enumerate(inputs):
                     self.weights[c] += rate / 256**2 * np.bincount(gate, error * odds, gates)
                 self.weights[CONTEXTS] += 0.1 * rate * np.bincount(gate, error, gates)
-                cell = (self.tree.cell[d].take(s) + self.step(dot)) * 2 + bit
-                count += np.bincount(cell, minlength=count.size).reshape(count.shape)
+                np.add.at(count.reshape(-1), (self.tree.cell[d].take(s) + self.step(dot)) * 2 + bit, 1)
 
     def step(self, dot):
         """The step of the map nearest to log odds ``dot``, between -8 and 8."""
@@ -291,22 +315,28 @@ class Model:
         refined = self.map.ravel()
         for now in range(int(level.max()) + 1):
             part = np.flatnonzero(level == now)
-            bits = np.bincount(text[part], self.tree.depth[x[part]], n)
-            slope = np.zeros(n)
-            for d, at, s in self.tree.walk(x, part):
-                inputs, gate = self.bits(contexts, d, at, s)
-                of, sign = text.take(at), self.tree.sign[d].take(s)
+            part = part.take(self.tree.deepest_first(x.take(part)))
+            every, of, here = x.take(part).astype(np.intp), text.take(part), contexts.take(part, axis=1)
+            own, paid, pull = scale.take(of), np.zeros(len(part), np.float32), np.zeros(len(part), np.float32)
+            for d, m in self.tree.layers(every):
+                s = every[:m]
+                inputs, gate = self.bits(here, d, s)
+                sign = self.tree.sign[d].take(s)
                 mixed = self.mix(inputs, gate)
-                dot = mixed * scale.take(of)
-                odds = 0.5 * (dot + refined.take(self.tree.cell[d].take(s) + self.step(dot)))
+                odds = mixed * own[:m]
+                odds += refined.take(self.tree.cell[d].take(s) + self.step(odds))
+                odds *= -0.5
                 odds *= sign
-                # cost and slope of log(1 + exp(-odds))
-                e = np.exp(np.negative(np.clip(odds, -30, 30, out=odds), out=odds))
-                cost -= np.bincount(of, np.log1p(e), n)
+                # cost and slope of log(1 + exp(odds)), the odds now being against the bit
+                e = np.exp(np.clip(odds, -30, 30, out=odds), out=odds)
+                paid[:m] += np.log1p(e)
                 e /= 1 + e
                 e *= sign
                 e *= mixed
-                slope += np.bincount(of, e, n)
+                pull[:m] += e
+            cost -= np.bincount(of, paid, n)
+            slope = np.bincount(of, pull, n)
+            bits = np.bincount(of, self.tree.depth.take(every), n)
             scale += np.minimum(TEXT_RATE, 0.25 / np.maximum(bits, 1)) * slope
             np.clip(scale, 0.5, 2, out=scale)
         return cost / math.log(10)
