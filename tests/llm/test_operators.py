@@ -367,6 +367,19 @@ def test_line_runs(spark):
     assert line_dedup.dedup_lines(_empty(df)).count() == 0
 
 
+@pytest.mark.parametrize("n_lines", [12, 40])
+def test_line_runs_of_copied_rows(spark, n_lines):
+    lines = [" ".join(f"c{i}_{j}" for j in range(8)) for i in range(n_lines)]  # lines of 8 words
+    whole, shared, early = "\n".join(lines), "\n".join(lines[3:10]), "\n".join(lines[5:12])
+    rows = [(1, whole), (1, whole), (2, f"before\n{shared}\nafter"), (0, early), (3, "a b"), (3, "a b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.Counter(tuple(r) for r in line_dedup.dedup_lines(df).select("_doc.doc_id", "_doc.text", "n_removed").collect())
+    left = "\n".join(lines[:5] + lines[12:])
+    assert got == collections.Counter(
+        {(0, early, 0): 1, (1, left, 7): 2, (2, "before\nafter", 7): 1, (3, "a b", 0): 2}
+    )
+
+
 def test_line_dedup_odd_rows(odd):
     assert line_dedup.dedup_lines_of(odd).count() == len(ODD_TEXTS)
 

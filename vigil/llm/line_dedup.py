@@ -102,12 +102,20 @@ def _windows(level: DataFrame, min_words: int) -> DataFrame:
     return begins.union(ends).distinct()
 
 
+def _once(source: DataFrame) -> DataFrame:
+    """One row per ``d``.  The texts are shuffled only if a ``d`` comes more than once."""
+    copied = materialize(source.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d"), "copies")
+    return source if copied.isEmpty() else source.dropDuplicates(["d"])
+
+
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
     """(d, lines): per document the numbers (among its lines with a word) of the lines
     to delete.  ``d`` is (id is null, id, hash of the text): documents come in its
     order, and rows equal in id and text are one document."""
-    source = docs.select(_key(id_col, text_col).alias("d"), F.col(text_col).cast("string").alias("_text")).where(
-        F.col("_text").isNotNull()
+    source = _once(
+        docs.select(_key(id_col, text_col).alias("d"), F.col(text_col).cast("string").alias("_text")).where(
+            F.col("_text").isNotNull()
+        )
     )
     split = source.select("d", _lines(F.col("_text")).alias("_lines"))
     numbered = split.select("d", "_lines", F.posexplode(_worded(F.col("_lines"))).alias("pos", "_i"))
