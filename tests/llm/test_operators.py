@@ -415,6 +415,21 @@ def test_main_text():
     assert html_text.main_text(deep) == "deep, down"
 
 
+def test_open_head_and_closed_svg():
+    text, body = "One, two, three. Four.", "<p>One, two, three.</p><p>Four.</p>"
+    for head in ("<head><title>T</title>", "<head><meta charset=utf-8><link rel=x>\n<script>a</script>",
+                 "<head><basefont size=3><style>p{}</style>"):
+        for start in ("<body>", "<div>", "\n<body><article>", "<main>"):
+            assert html_text.main_text(f"<!DOCTYPE html><html>{head}{start}{body}") == text
+        assert html_text.main_text(f"{head}Zero, text. {body}") == f"Zero, text. {text}"
+        assert html_text.main_text(f"{head}</head><body>{body}") == text
+    assert html_text.main_text(f"<head><noscript><link rel=x></noscript><body>{body}") == text
+    for mark in ("<svg/>", '<svg class="icon" />', "<svg><path d='M0'/><g/></svg>", "<svg><title/><path/></svg>", "<math/>"):
+        assert html_text.main_text(f"<body><article>{mark}{body}</article>") == text
+        assert html_text.main_text(f"<body><article><p>One, {mark}two, three.</p><p>Four.</p></article>") == text
+    assert html_text.main_text("<article><p>One, two, three.<p/>Four.</article>") == text  # no slash outside them
+
+
 def test_extract_odd_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", ""), (3, "w", f"<article><p>{LONG}</p></article>")]
     df = spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, text string")

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 # HTML's void elements, its elements that are part of a line of
 # text, those whose start ends an open paragraph, and those that hold no article
 # text; roles, and words in a class or id, of parts that hold none.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -32,6 +32,11 @@ ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split()
 )
+#: What a head holds; any other element, and text, ends an open one.
+HEAD_TAGS = frozenset("base basefont bgsound link meta title style script noscript noframes template head".split())
+#: Elements in which a slash closes a start tag, and those inside them that hold HTML again.
+FOREIGN = frozenset("svg math".split())
+HTML_AGAIN = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
 CUT_TAGS = frozenset(
     "head title script style noscript template iframe svg canvas object audio video nav footer aside form button "
     "select textarea option input dialog menu search".split()
@@ -79,6 +84,10 @@ class _Tree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body") and len(self.open) > 1 and tag in (self.tag[i] for i in self.open):
             return
+        if tag == "body":
+            self._close("head", ("template",))
+        elif tag not in HEAD_TAGS:
+            self._end_head()
         if tag in ENDS_PARAGRAPH:
             self._close("p", ("table", "td", "th", "button", "caption"))
         elif tag == "li":
@@ -110,8 +119,27 @@ class _Tree(HTMLParser):
     def _within(self, tag):
         return any(self.tag[i] == tag for i in self.open)
 
+    def _end_head(self):
+        """Close an open head that is the innermost open element."""
+        if self.tag[self.open[-1]] == "head":
+            self.open.pop()
+
+    def _foreign(self, tag) -> bool:
+        """Whether ``tag``, if it starts here, is of SVG or MathML."""
+        if tag in FOREIGN:
+            return True
+        for i in reversed(self.open):
+            if self.tag[i] in FOREIGN or self.tag[i] in HTML_AGAIN:
+                return self.tag[i] in FOREIGN
+        return False
+
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)  # outside SVG the slash of <p/> means nothing
+        closed, nodes = tag not in VOID and self._foreign(tag), len(self.parent)
+        self.handle_starttag(tag, attrs)  # outside SVG and MathML the slash of <p/> means nothing
+        if closed and len(self.parent) > nodes:
+            self.open.pop()
+            if tag not in INLINE:
+                self._border()
 
     def handle_endtag(self, tag):
         if tag in VOID:
@@ -126,6 +154,8 @@ class _Tree(HTMLParser):
             self._border()
 
     def handle_data(self, data):
+        if data.strip():
+            self._end_head()
         self.flow.append((self.open[-1], data))
 
 
