@@ -226,6 +226,28 @@ def test_scores_odd_rows(odd):
     assert mixing.score(_empty(odd)).count() == 0
 
 
+def test_tables_grow_with_the_keys(spark, monkeypatch):
+    """More (context, node) keys than the least table has slots: met and unmet contexts stay apart."""
+    monkeypatch.setattr(mixing, "HELD_KEYS", 300_000)  # tasks hand their counts on several times
+    monkeypatch.setattr(mixing, "COUNTED_AT_ONCE", 500_000)
+    rng = np.random.default_rng(11)
+    texts = ["".join(map(chr, rng.integers(97, 123, 60_000))) for _ in range(12)]
+    counts = np.bincount(np.concatenate([mixing.symbols_of(t) for t in texts]), minlength=mixing.SYMBOLS)
+    tree = mixing.Tree(counts)
+    model = mixing.train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3),
+                         "text", "true", "false", counts)
+    x, _, _, contexts = mixing._contexts([mixing.symbols_of(t) for t in texts])
+    five = collections.defaultdict(set)
+    for d, node in enumerate(tree.node):
+        at = np.flatnonzero(tree.depth[x] > d)
+        for n in np.unique(node[x[at]]):
+            five[int(n)].update(contexts[1, at[node[x[at]] == n]].tolist())
+    n_keys = sum(map(len, five.values()))
+    assert n_keys > 1 << mixing.SLOT_BITS
+    met = np.count_nonzero(model.tables[1])
+    assert 0.85 * n_keys < met <= n_keys and met < 0.25 * len(model.tables[1])
+
+
 def test_decisions_are_a_probability():
     """Over all continuations of a prefix the model's probabilities sum to one."""
     texts = [mixing.symbols_of(t) for t in ("the cat", "the dog and the cat", "a cat")]

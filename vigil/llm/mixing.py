@@ -14,8 +14,10 @@ Huffman tree of the training symbols, and every decision (bit) is predicted:
 4. while a text is scored, the mixer adapts to it: a scale of its weights is
    corrected online along the gradient of the coding cost, at symbol 64, 128, ...
 
-The tables have a fixed size.  Tasks count their own documents, and the counts
-are added slot by slot in slices.  The documents that are learned from are split:
+Tasks count their own documents by (context, tree node), hand the counts on when
+they hold many, and these are added slice by slice.  The number of distinct keys
+found sizes each context's table: at most one slot in SPARE is filled, so that the
+tables, and the memory they take, grow with the training text.  The documents that are learned from are split:
 most fill the tables, the rest teach the mixer and the map, as predictions of
 texts already counted would look better than they are.  Both read all of their
 documents.  Every text is scored from the same start, so scores do not depend on
@@ -27,6 +29,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +43,19 @@ END = 256  # the symbol after the last word
 SYMBOLS = 257
 ORDERS = (3, 5)  # lengths of the contexts of symbols; the word so far is one more
 CONTEXTS = 3
-#: Slots per context and per slice of a table that is added up at once.
+#: Bits of the number of slots of a context's table: least and most (a bit of the hash is the decision's).
 SLOT_BITS = 21
-SLICE = 1 << 14
+MOST_BITS = 31
+#: Slots per distinct key, at least.
+SPARE = 4
+#: Bits of the number of slices in which a context's keys are added up.
+SLICE_BITS = 8
 #: Steps of the map, symbols worked on at once, learning rates of mixer and text.
 STEPS = 65
 CHUNK_SYMBOLS = 400_000
-#: Decisions whose slots wait to be counted together.
+#: Decisions whose keys wait to be counted together, and counted keys of a context that a task holds.
 COUNTED_AT_ONCE = 4_000_000
+HELD_KEYS = 4_000_000
 MIXER_RATE = 0.02
 GATES = 8  # per node: which of the contexts are known
 TEXT_RATE = 0.002
@@ -56,7 +64,7 @@ TUNE_PART = 32
 FIRST_CHECK = 64
 
 # Odd multipliers of the hashes; contexts and tree nodes meet in 32 bits.
-_NODE, _SLOT, _SLOT_SHIFT = np.uint32(0x85EBCA6B), np.uint32(0x9E3779B1), np.uint32(32 - SLOT_BITS)
+_NODE, _SLOT = np.uint32(0x85EBCA6B), np.uint32(0x9E3779B1)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -104,7 +112,6 @@ class Tree:
         self.gate = self.node.astype(np.int64) * GATES
         self.cell = self.node.astype(np.int64) * STEPS
         self.sign = 2 * self.bit.astype(np.float32) - 1
-        self.half = self.bit.astype(np.uint32) << np.uint32(SLOT_BITS)  # ones are counted behind the zeros
 
     def deepest_first(self, x):
         """The places of the symbols ``x``, those with the longest paths first."""
@@ -146,12 +153,11 @@ def _contexts(symbols: list[np.ndarray]):
     return x, text, place, (contexts >> np.uint64(32)).astype(np.uint32)
 
 
-def _slots(contexts: np.ndarray, mark: np.ndarray) -> np.ndarray:
-    """Slots of contexts at tree nodes, ``mark`` the nodes' hashes."""
-    slots = contexts + mark
-    slots *= _SLOT
-    slots >>= _SLOT_SHIFT
-    return slots
+def _hashes(contexts: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Hashes of contexts at tree nodes, ``mark`` the nodes' hashes; their first bits are the slot."""
+    hashes = contexts + mark
+    hashes *= _SLOT
+    return hashes
 
 
 def _chunks(batches, column: int):
@@ -189,23 +195,66 @@ def symbol_counts(words: DataFrame, texts: int) -> np.ndarray:
     return counts
 
 
-def context_tables(texts: DataFrame, tree: Tree) -> DataFrame:
-    """(slice, odds): the trained tables, as slices of log odds times 256 (16-bit).
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of all (keys, counts) in order, with their counts added."""
+    if len(parts) == 1:
+        return parts[0]
+    keys, counts = (np.concatenate(a) for a in zip(*parts))
+    order = np.argsort(keys, kind="stable")
+    keys = keys.take(order)
+    first = np.flatnonzero(np.concatenate((np.ones(1, bool), keys[1:] != keys[:-1])))
+    return keys.take(first), np.add.reduceat(counts.take(order), first)
 
-    A task adds up its own documents' counts and hands them on slice by slice; the
-    slices of all tasks are added where they meet.
+
+def _packed(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """The steps between sorted keys, and the counts, as compressed planes of bytes."""
+    steps = np.diff(keys, prepend=np.uint32(0))
+    planes = (np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T) for a in (steps, counts))
+    return tuple(pa.compress(a.tobytes(), "zstd", asbytes=True) for a in planes)
+
+
+def _unpacked(n: int, keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    def values(packed, kind):
+        size = np.dtype(kind).itemsize
+        planes = np.frombuffer(pa.decompress(packed, n * size, "zstd", asbytes=True), np.uint8)
+        return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
+
+    return np.cumsum(values(keys, np.uint32), dtype=np.uint32), values(counts, np.int64)
+
+
+def key_counts(texts: DataFrame, tree: Tree) -> DataFrame:
+    """(slice, n_keys, n, keys, counts): how often each (context, node) was met with each bit.
+
+    A key is 31 bits of the hash and the bit.  Slices are numbered context by context,
+    in the order of the keys; ``n_keys`` are a slice's distinct hashes, ``n`` its keys.
     """
-    per_context = (1 << SLOT_BITS) // SLICE
+    borders = np.arange(1, 1 << SLICE_BITS, dtype=np.uint32) << np.uint32(32 - SLICE_BITS)
 
     def count(batches):
-        n, size = np.zeros((CONTEXTS, 2 << SLOT_BITS), np.int32), 0
         waiting: list[list[np.ndarray]] = [[] for _ in range(CONTEXTS)]
-
-        def settle():
-            for total, slots in zip(n, waiting):
-                if slots:
-                    total += np.bincount(np.concatenate(slots), minlength=len(total)).astype(np.int32)
-                    slots.clear()
+        held: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(CONTEXTS)]
+        size = 0
+
+        def settle(most):
+            for c in range(CONTEXTS):
+                if waiting[c]:
+                    held[c].append(np.unique(np.concatenate(waiting[c]), return_counts=True))
+                    waiting[c].clear()
+                if sum(len(keys) for keys, _ in held[c]) <= most or not held[c]:
+                    continue
+                held[c][:] = [_summed(held[c])]
+                keys, counts = held[c][0]
+                if len(keys) <= most // 2:
+                    continue
+                held[c].clear()
+                ends = [0, *np.searchsorted(keys, borders), len(keys)]
+                some = [k for k in range(1 << SLICE_BITS) if ends[k] < ends[k + 1]]
+                packed = [_packed(keys[ends[k]:ends[k + 1]], counts[ends[k]:ends[k + 1]]) for k in some]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([(c << SLICE_BITS) + k for k in some], pa.int32()),
+                    pa.array([ends[k + 1] - ends[k] for k in some], pa.int64()),
+                    pa.array([a for a, _ in packed], pa.binary()), pa.array([b for _, b in packed], pa.binary()),
+                ], ["slice", "n", "keys", "counts"])
 
         for batch in batches:
             for _, symbols in _chunks(batch, 0):
@@ -213,57 +262,101 @@ def context_tables(texts: DataFrame, tree: Tree) -> DataFrame:
                 order = tree.deepest_first(x)
                 s, contexts = x.take(order).astype(np.intp), contexts.take(order, axis=1)
                 for d, many in tree.layers(s):
-                    mark, half = tree.mark[d].take(s[:many]), tree.half[d].take(s[:many])
+                    mark, bit = tree.mark[d].take(s[:many]), tree.bit[d].take(s[:many])
                     for c in range(CONTEXTS):
-                        waiting[c].append(_slots(contexts[c, :many], mark) + half)
+                        waiting[c].append((_hashes(contexts[c, :many], mark) & np.uint32(0xFFFFFFFE)) | bit)
                     size += int(many)
                 if size >= COUNTED_AT_ONCE:
-                    settle()
+                    yield from settle(HELD_KEYS)
                     size = 0
-        settle()
-        flat = n.reshape(CONTEXTS, 2, per_context, SLICE).transpose(1, 0, 2, 3).reshape(2, -1, SLICE)
-        for k in range(CONTEXTS * per_context):
-            if flat[:, k].any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([flat[:, k].tobytes()], pa.binary())], ["slice", "counts"]
-                )
+        yield from settle(0)
 
     def add(batches):
-        total: dict[int, np.ndarray] = {}
+        held: dict[int, list] = {}
         for batch in batches:
-            for k, counts in zip(batch.column(0), batch.column(1)):
-                one = np.frombuffer(counts.as_py(), np.int32).astype(np.int64)
-                if k.as_py() in total:
-                    total[k.as_py()] += one
-                else:
-                    total[k.as_py()] = one
-        for k, counts in total.items():
-            zero, one = counts.reshape(2, SLICE)
-            odds = np.clip(256 * np.log((one + 0.3) / (zero + 0.3)), -32000, 32000).astype(np.int16)
+            for k, *packed in zip(*batch.columns):
+                parts = held.setdefault(k.as_py(), [])
+                parts.append(_unpacked(*(v.as_py() for v in packed)))
+                if len(parts) == 16:
+                    parts[:] = [_summed(parts)]
+        for k in sorted(held):
+            keys, counts = _summed(held.pop(k))
+            kinds = 1 + int(np.count_nonzero(np.diff(keys >> np.uint32(1))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k], pa.int32()), pa.array([odds.tobytes()], pa.binary())], ["slice", "odds"]
+                [pa.array([k], pa.int32()), pa.array([kinds], pa.int64()), pa.array([len(keys)], pa.int64()),
+                 *(pa.array([b], pa.binary()) for b in _packed(keys, counts))], ["slice", "n_keys", "n", "keys", "counts"],
             )
 
-    counted = texts.mapInArrow(count, "slice int, counts binary")
-    return counted.repartition("slice").mapInArrow(add, "slice int, odds binary")
+    counted = texts.mapInArrow(count, "slice int, n long, keys binary, counts binary")
+    return counted.repartition("slice").mapInArrow(add, "slice int, n_keys long, n long, keys binary, counts binary")
+
+
+def slot_bits(keys: int) -> int:
+    """The bits of a table's number of slots for so many distinct keys."""
+    return min(max(SLOT_BITS, (SPARE * keys - 1).bit_length()), MOST_BITS)
+
+
+def context_tables(texts: DataFrame, tree: Tree) -> list[tuple[int, dict[int, bytes]]]:
+    """Per context the bits of its number of slots and the compressed slices of the trained
+    table of log odds times 256 (16-bit); 0 is a slot never met."""
+    counted = materialize(key_counts(texts, tree), "keys")
+    n_keys = [0] * CONTEXTS
+    for r in counted.groupBy(F.shiftright("slice", SLICE_BITS).alias("c")).agg(F.sum("n_keys").alias("n")).collect():
+        n_keys[r["c"]] = r["n"]
+    bits = [slot_bits(n) for n in n_keys]
+
+    def dense(batches):
+        for batch in batches:
+            for k, *packed in zip(*batch.columns):
+                own = bits[k.as_py() >> SLICE_BITS]
+                width = 1 << (own - SLICE_BITS)
+                keys, counts = _unpacked(*(v.as_py() for v in packed))
+                slots = ((keys >> np.uint32(32 - own)) & np.uint32(width - 1)).astype(np.int64)
+                n = np.bincount(2 * slots + (keys & np.uint32(1)), counts, 2 * width)
+                zero, one = n.reshape(width, 2).T
+                odds = np.clip(256 * np.log((one + 0.3) / (zero + 0.3)), -32000, 32000).astype(np.int16)
+                odds[(odds == 0) & (zero + one > 0)] = 1
+                yield pa.RecordBatch.from_arrays([pa.array([k.as_py()], pa.int32()), pa.array([pa.compress(odds.tobytes(), "zstd", asbytes=True)], pa.binary())],
+                                                 ["slice", "odds"])
+
+    tables = [(b, {}) for b in bits]
+    for r in counted.select("slice", "n", "keys", "counts").mapInArrow(dense, "slice int, odds binary").toLocalIterator():
+        c, k = divmod(r["slice"], 1 << SLICE_BITS)
+        tables[c][1][k] = bytes(r["odds"])
+    return tables
 
 
 class Model:
     """Tables, mixer weights [CONTEXTS + 1, nodes * GATES] and map [nodes, STEPS] of log odds."""
 
-    def __init__(self, tree: Tree, tables: np.ndarray):
-        self.tree, self.tables = tree, tables
+    def __init__(self, tree: Tree, tables=None, packed=None):
+        self.tree, self.packed = tree, packed
+        if tables is not None:
+            self.tables = tables
+        # hashes begin with the slot
+        bits = [b for b, _ in packed] if tables is None else [len(t).bit_length() - 1 for t in tables]
+        self.shifts = [np.uint32(32 - b) for b in bits]
         self.weights = np.full((CONTEXTS + 1, tree.nodes * GATES), 0.4 / 256, np.float32)
         self.weights[CONTEXTS] = 0
         self.map = np.tile(np.linspace(-8, 8, STEPS, dtype=np.float32), (tree.nodes, 1))
 
+    @cached_property
+    def tables(self):
+        """The dense tables, laid out where they are first used: in the tasks."""
+        tables = [np.zeros(1 << b, np.int16) for b, _ in self.packed]
+        for table, (b, slices) in zip(tables, self.packed):
+            rows = table.reshape(1 << SLICE_BITS, -1)
+            for k, odds in slices.items():
+                rows[k] = np.frombuffer(pa.decompress(odds, rows[k].nbytes, "zstd", asbytes=True), np.int16)
+        return tables
+
     def bits(self, contexts, d, s):
         """Inputs (one array per context) and gates of the symbols ``s`` in their ``contexts``."""
         mark = self.tree.mark[d].take(s)
         gate = self.tree.gate[d].take(s)
         inputs = []
         for c, table in enumerate(self.tables):
-            odds = table.take(_slots(contexts[c, :len(s)], mark))
+            odds = table.take(_hashes(contexts[c, :len(s)], mark) >> self.shifts[c])
             gate += (odds != 0).view(np.int8) << c
             inputs.append(odds.astype(np.float32))
         return inputs, gate
@@ -368,7 +461,9 @@ def train_mixer(texts: DataFrame, model: Model) -> None:
         *[F.array(*[F.sum(F.col(c)[i]) for i in range(w)]).alias(c) for c, w in width.items()],
     )
     p = 1 / (1 + np.exp(-np.linspace(-8, 8, STEPS)))
-    for r in sums.collect():  # one row per tree node
+    rows = sums.collect()  # one row per tree node
+    shared.destroy()
+    for r in rows:
         seen = np.array(r["seen"])
         own = np.array(r["weights"]).reshape(GATES, -1)[seen > 0] / seen[seen > 0, None]
         model.weights[:, r["node"] * GATES + np.flatnonzero(seen > 0)] = own.T
@@ -380,12 +475,7 @@ def train(docs: DataFrame, text_col: str, learn: str, tune: str, counts: np.ndar
     """The model from the rows where the SQL predicate ``learn`` holds (tables), and ``tune`` (mixer, map)."""
     tree = Tree(counts)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")
-    tables = np.zeros((CONTEXTS, 1 << SLOT_BITS), np.int16)
-    flat = tables.reshape(-1, SLICE)
-    # a fixed number of slices, whatever the corpus
-    for r in context_tables(docs.where(learn).select(text), tree).toLocalIterator():
-        flat[r["slice"]] = np.frombuffer(r["odds"], np.int16)
-    model = Model(tree, tables)
+    model = Model(tree, packed=context_tables(docs.where(learn).select(text), tree))
     train_mixer(docs.where(tune).select(text), model)
     return model
 
