@@ -452,6 +452,15 @@ def test_open_head_and_closed_svg():
     assert html_text.main_text("<article><p>One, two, three.<p/>Four.</article>") == text  # no slash outside them
 
 
+def test_lists_of_links_in_an_article():
+    links = "<li><a href=a>Source one</a><li><a href=b>Source two</a><li><a href=c>Source three</a>"
+    text = "<p>One, two, three, and text enough to count.</p>"
+    for tag in ("article", "main"):
+        page = f"<body><{tag}>{text}<ul>{links}</ul><ul class=menu>{links}</ul><ol role=navigation>{links}</ol></{tag}>"
+        assert html_text.main_text(page) == "One, two, three, and text enough to count. Source one Source two Source three"
+    assert html_text.main_text(f"<body><div>{text}<ul>{links}</ul></div>") == "One, two, three, and text enough to count."
+
+
 def test_extract_odd_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", ""), (3, "w", f"<article><p>{LONG}</p></article>")]
     df = spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, text string")

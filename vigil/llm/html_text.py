@@ -236,7 +236,7 @@ def main_text(html: str) -> str:
                     kept.add(i)
                 elif tag[i] in ("p", "h1", "h2", "h3", "blockquote", "pre") and density < 0.25:
                     kept.add(i)
-    # lists of links inside what is kept are menus
+    # lists of links inside what is kept are menus, but an article's own are part of it
     links = [0] * n
     for i in range(1, n):
         if tag[i] == "a":
@@ -248,7 +248,7 @@ def main_text(html: str) -> str:
                 up = parent[up]
     inside = [False] * n
     for i in range(n):
-        menu = tag[i] in ("ul", "ol") and links[i] >= 3 and linked[i] > 0.8 * size[i]
+        menu = whole is None and tag[i] in ("ul", "ol") and links[i] >= 3 and linked[i] > 0.8 * size[i]
         inside[i] = (i in kept or (i > 0 and inside[parent[i]])) and not cut[i] and not menu
     return " ".join("".join(" " if s is None else s if inside[i] else "" for i, s in tree.flow).split())
 
