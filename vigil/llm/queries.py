@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from vigil.llm import oracles
 from vigil.llm.bpe import encode_decode
+from vigil.llm.compress_quality import classify
 from vigil.llm.html_text import extract
 from vigil.llm.line_dedup import dedup_lines
 from vigil.llm.mixing import score
 from vigil.llm.nearest import nearest
 from vigil.llm.packing import pack
+from vigil.llm.prefix_trie import spliced_trie
 from vigil.llm.quality import judge
 from vigil.llm.simhash import near_duplicates
 from vigil.llm.token_counts import token_counts
+from vigil.llm.turn_repair import damage, repair_turns
 from vigil.llm.warc import archive
 
 #: Where the vocabulary file lies; a parameter of the operators, never copied.
@@ -69,6 +72,21 @@ def op10_html_text(spark, sf_dir):
     return extract(_read(spark, sf_dir, "pages"))
 
 
+def op11_compress_quality(spark, sf_dir):
+    return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted"
+    )
+
+
+def op12_prefix_trie(spark, sf_dir):
+    return spliced_trie(_read(spark, sf_dir, "conversations"), step=5, most=9)
+
+
+def op13_turn_repair(spark, sf_dir):
+    rows = _read(spark, sf_dir, "conversations")
+    return repair_turns(damage(rows), rows.select("conv_id"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -88,6 +106,9 @@ def queries() -> dict:
         "op8_packing": op8_packing,
         "op9_line_dedup": op9_line_dedup,
         "op10_html_text": op10_html_text,
+        "op11_compress_quality": op11_compress_quality,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_turn_repair": op13_turn_repair,
     }
 
 
