@@ -6,6 +6,9 @@ A completeness rule is a SQL predicate written by the user (``"x IS NOT NULL"``,
 optimised like any other filter (LIKE-prefix becomes StartsWith, negated
 IS NOT NULL / IN / BETWEEN can reach the scan), and nothing runs in Python.
 
+A predicate may hold subqueries (``x IN (SELECT ...)``, ``EXISTS (...)``) on tables or
+views that the session knows; see :func:`listed_in` for long lists.
+
 Two readings of "the row satisfies the rule" exist and both are kept:
 
 * violation reading (scorecard, violation filters): a row is *bad* only when
@@ -19,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Text shown for a NULL value in invalid-value profiles.
@@ -44,6 +47,23 @@ class Rule:
         return self.column or self.name
 
 
+def listed_in(column: str, query: str) -> str:
+    """The predicate ``column IN (query)``, written so that it joins by key at any size.
+
+    Spark turns a negated ``IN (SELECT ...)`` over nullable columns into a nested-loop join
+    against a broadcast of the whole list.  Here the list is looked up by an equi-join
+    (``EXISTS``), and NULLs, an empty list included, are answered as ``IN`` does: a list
+    without the value but with a NULL, or a NULL value, gives NULL.
+    """
+    rows = f"({query}\n) AS _listed(_value)"
+    return (
+        f"CASE WHEN EXISTS (SELECT 1 FROM {rows} WHERE _value = {sql_ident(column)}) THEN true "
+        f"WHEN (SELECT count(1) FROM {rows}) = 0 THEN false "
+        f"WHEN {sql_ident(column)} IS NULL OR (SELECT count_if(_value IS NULL) FROM {rows}) > 0 THEN NULL "
+        "ELSE false END"
+    )
+
+
 def as_rules(rules) -> list[Rule]:
     """Accept a mapping ``{name: predicate}``, ``(name, predicate)`` pairs or Rules."""
     if isinstance(rules, dict):
@@ -72,6 +92,25 @@ def sql_string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def column_named(df: DataFrame, name: str) -> str:
+    """The name of the column that Spark would take for ``name``: case counts only where
+    the session says so."""
+    if name in df.columns or df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true":
+        return name
+    hits = [c for c in df.columns if c.lower() == name.lower()]
+    return hits[0] if len(hits) == 1 else name
+
+
+def used_columns(df: DataFrame, expressions: list[str]) -> list[str]:
+    """The columns of ``df`` that SQL expressions read, those inside subqueries included, in
+    the order of ``df``; read off the analyzed plan, so names may be in any case."""
+    if not hasattr(df, "_jdf"):  # Spark Connect shows no plan
+        return df.columns
+    found = df.selectExpr(*expressions)._jdf.queryExecution().analyzed().references().toSeq()
+    names = {found.apply(i).name() for i in range(found.size())}
+    return [c for c in df.columns if c in names]
+
+
 def predicate(rule: Rule | str) -> Column:
     """The rule as a boolean Column (three-valued)."""
     text = rule.predicate if isinstance(rule, Rule) else rule

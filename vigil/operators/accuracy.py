@@ -12,6 +12,8 @@ Plans (all rules at once, never one pass per rule):
 
 * :func:`rule_check` / :func:`reconcile` - one row per key present on both
   sides: one grouped aggregate per side, one inner equi-join.
+* :func:`reconcile_outer` - one row per key of either side, marked with the side(s) that
+  have it: the same two aggregates, one full outer join.
 * :func:`accuracy_report` - one row per *source row* (the report keeps the
   source's duplicate keys, NULL keys and source-only keys, the latter two with
   NULL aggregates and checks).  Instead of joining every source row back to
@@ -31,12 +33,15 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from decimal import Decimal
+from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigil.functions.rules import column_named
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -51,7 +56,10 @@ CHUNK_ROWS = 100_000
 def _number(value) -> str:
     """A threshold as an SQL literal; numeric text (YAML reads 2e-2 as text) counts as its number."""
     if isinstance(value, str):
-        value = Decimal(value.strip())
+        try:
+            value = Decimal(value.strip())
+        except InvalidOperation:
+            raise ValueError(f"a threshold must be a number, not {value!r}") from None
     if isinstance(value, bool) or not isinstance(value, (int, float, Decimal)) or not math.isfinite(value):
         raise ValueError(f"a threshold must be a finite number, not {value!r}")
     if isinstance(value, float):
@@ -59,18 +67,9 @@ def _number(value) -> str:
     return format(value, "f") if isinstance(value, Decimal) else str(value)
 
 
-def _named(df: DataFrame, name: str) -> str:
-    """The name of the column that Spark would take for ``name``: case counts only where
-    the session says so."""
-    if name in df.columns or df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true":
-        return name
-    hits = [c for c in df.columns if c.lower() == name.lower()]
-    return hits[0] if len(hits) == 1 else name
-
-
 def _aligned(df: DataFrame, names) -> DataFrame:
     """``df`` with each of ``names`` spelled as given."""
-    found = {_named(df, n): n for n in names}
+    found = {column_named(df, n): n for n in names}
     return df.select(*[F.col(_q(c)).alias(found.get(c, c)) for c in df.columns])
 
 
@@ -232,6 +231,78 @@ def reconcile(source: DataFrame, target: DataFrame, keys, rules, check_suffix: s
     return j.selectExpr(*cols)
 
 
+#: Join types of a reconciliation -> the kinds of keys that it keeps.
+JOINS = {
+    "inner": ("both",), "left": ("both", "source"), "right": ("both", "target"),
+    "full_outer": ("both", "source", "target"),
+}
+_JOIN_NAMES = {"outer": "full_outer", "full": "full_outer", "left_outer": "left", "right_outer": "right"}
+
+
+def join_type(how: str) -> str:
+    """A catalog's join type as one of :data:`JOINS`."""
+    name = str(how).strip().lower().replace(" ", "_")
+    name = _JOIN_NAMES.get(name, name)
+    if name not in JOINS:
+        raise ValueError(f"unknown join type {how!r}; expected one of {sorted(JOINS)}")
+    return name
+
+
+def reconcile_outer(
+    source: DataFrame,
+    target: DataFrame,
+    keys,
+    rules,
+    target_keys=None,
+    how: str = "full_outer",
+    check_suffix: str = "_check",
+) -> DataFrame:
+    """Per-key reconciliation that shows what either side lacks.
+
+    ``keys`` are the source's key columns, ``target_keys`` (default: the same names) the
+    target's, matched by position; the result has the source's names.  Columns: keys,
+    ``presence`` (``both``, ``source``: the target lacks the key, ``target``: the source
+    does), all source aggregates, all target aggregates, one ``{rule name}_check`` per
+    rule (NULL unless both sides have the key).  ``how`` keeps only some of the kinds
+    (:data:`JOINS`).  A key with a NULL part equals no key: it is a row of its own on
+    each side that has it.
+    """
+    how = join_type(how)
+    keys = parse_keys(keys)
+    theirs = parse_keys(target_keys) if target_keys is not None else keys
+    rules = as_accuracy_rules(rules)
+    if len(theirs) != len(keys):
+        raise ValueError(f"{len(keys)} source keys and {len(theirs)} target keys: {keys} and {theirs}")
+    checks = [f"{r.name}{check_suffix}" for r in rules]
+    # the target's keys under the source's names; its rule columns are carried apart
+    target = _aligned(target, [*theirs, *(r.target_col for r in rules)])
+    lacking = [c for c in [*theirs, *(r.target_col for r in rules)] if c not in target.columns]
+    if lacking:
+        raise ValueError(f"target has no column {lacking[0]!r}")
+    target = target.select(
+        *[F.col(_q(t)).alias(f"_key{i}") for i, t in enumerate(theirs)],
+        *[F.col(_q(c)).alias(f"_of {c}") for c in dict.fromkeys(r.target_col for r in rules)],
+    )
+    named = target.select(
+        *[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)],
+        *[F.col(_q(f"_of {c}")).alias(c) for c in dict.fromkeys(r.target_col for r in rules) if c not in keys],
+    )
+    _validate(source, named, keys, rules, [*checks, "presence"])
+    mark = F.lit(True)
+    s = side_aggregates(source, keys, rules, "source").withColumn("_here", mark).alias("s")
+    t = side_aggregates(named, keys, rules, "target").withColumn("_here", mark).alias("t")
+    joined = s.join(t, [F.col(f"s.{_q(k)}") == F.col(f"t.{_q(k)}") for k in keys], how)
+    cols = [f"coalesce(s.{_q(k)}, t.{_q(k)}) AS {_q(k)}" for k in keys]
+    cols.append("CASE WHEN s._here AND t._here THEN 'both' WHEN s._here THEN 'source' ELSE 'target' END AS presence")
+    cols += [f"s.{_q(r.source_alias)} AS {_q(r.source_alias)}" for r in rules]
+    cols += [f"t.{_q(r.target_alias)} AS {_q(r.target_alias)}" for r in rules]
+    cols += [
+        f"CASE WHEN s._here AND t._here THEN {r.check_sql(f's.{_q(r.source_alias)}', f't.{_q(r.target_alias)}')} END AS {_q(c)}"
+        for r, c in zip(rules, checks)
+    ]
+    return joined.selectExpr(*cols)
+
+
 def accuracy_report(
     source: DataFrame,
     target: DataFrame,

@@ -3,8 +3,10 @@
 Every function takes a DataFrame (and rules) and returns a DataFrame; none
 runs an action.  The scorecard is built from ONE scan of the table:
 
-    scan -> per row, one (rule, value) item per violated rule plus one
-            row-count marker -> partial+final hash aggregate on (rule, value)
+    scan -> per row, one truth column per rule (a plain projection, so rules may
+            hold subqueries: Spark joins them below it)
+         -> one (rule, value) item per violated rule plus one row-count marker
+         -> partial+final hash aggregate on (rule, value)
 
 That aggregate (the long profile) holds everything: the marker's count is the
 row count, a rule's item counts sum to its violations, and the items
@@ -24,6 +26,7 @@ from vigil.functions.rules import (
     Rule,
     as_rules,
     closed,
+    column_named,
     flag,
     null_label,
     sql_ident,
@@ -31,7 +34,8 @@ from vigil.functions.rules import (
     violated,
     violated_text,
 )
-from vigil.functions.text import ordered_concat
+from vigil.functions.text import ordered_concat, ordered_parts
+from vigil.sources.sinks import stage
 
 _TOTAL = -1  # rule index of the row-count marker in the long profile
 
@@ -139,7 +143,7 @@ def _slots(df: DataFrame, rules: list[Rule], label: str) -> tuple[list[str], dic
         col = r.target
         if col in where:
             continue
-        dtype = fields.get(col)
+        dtype = fields.get(column_named(df, col))
         if isinstance(dtype, T.StringType):
             tname, expr = "string", f"coalesce({sql_ident(col)}, {sql_string(label)})"
         elif dtype is not None and isinstance(dtype, _TYPED_SLOTS):
@@ -160,23 +164,27 @@ def _failure_items(df: DataFrame, rules: list[Rule], first: int, with_total: boo
     The failing value stays in its own type (slot ``v<k>`` for the k-th column
     type) so rows are grouped on typed values and turned into text only after
     the aggregate, once per distinct value instead of once per failing row.
-    Written as one SQL expression (one round trip to build).  Items of rules
-    that hold are NULL structs and are dropped by a plain filter after the
-    generator - filtering inside the array would need a lambda, which runs
+    The values and the rules' truths are columns of a projection below the generator:
+    subqueries are allowed there, and an expression is compiled once however many items
+    use it.  Items of rules that hold are NULL structs and are dropped by a plain filter
+    after the generator - filtering inside the array would need a lambda, which runs
     outside generated code.
     """
     nulls = [f"CAST(NULL AS {t})" for t in types]
+    values = {col: (slot, f"_value{j}") for j, (col, (slot, _)) in enumerate(where.items())}
+    base = df.selectExpr(
+        *[f"{expr} AS {values[col][1]}" for col, (_, expr) in where.items()],
+        *[f"NOT ({closed(r)}) AS _broken{i}" for i, r in enumerate(rules, start=first)],
+    )
 
-    def item(rule_idx: int, slot: int | None, expr: str | None) -> str:
-        vals = [expr if k == slot else nulls[k] for k in range(len(types))]
+    def item(rule_idx: int, slot: int | None, value: str | None) -> str:
+        vals = [value if k == slot else nulls[k] for k in range(len(types))]
         fields = "".join(f", 'v{k}', {v}" for k, v in enumerate(vals))
         return f"named_struct('rule', {rule_idx}{fields})"
 
     items = [item(_TOTAL, None, None)] if with_total else []
-    for i, r in enumerate(rules, start=first):
-        slot, expr = where[r.target]
-        items.append(f"CASE WHEN NOT ({closed(r)}) THEN {item(i, slot, expr)} END")
-    return df.selectExpr(f"inline(array({', '.join(items)}))").where("rule IS NOT NULL")
+    items += [f"CASE WHEN _broken{i} THEN {item(i, *values[r.target])} END" for i, r in enumerate(rules, start=first)]
+    return base.selectExpr(f"inline(array({', '.join(items)}))").where("rule IS NOT NULL")
 
 
 def _long_profile(df: DataFrame, rules: list[Rule], label: str, with_total: bool) -> DataFrame:
@@ -194,26 +202,70 @@ def _long_profile(df: DataFrame, rules: list[Rule], label: str, with_total: bool
     return prof.selectExpr("rule", f"coalesce({text}) AS value", "count")
 
 
+def _rule_names(rules: list[Rule]) -> Column:
+    return F.element_at(F.array(*[F.lit(r.name) for r in rules]), F.col("rule") + 1)
+
+
+def profile_rows(profile: DataFrame, rules) -> DataFrame:
+    """(column_name, value, count) of a long profile (:func:`kept_profile`)."""
+    return profile.where(f"rule != {_TOTAL}").select(_rule_names(as_rules(rules)).alias("column_name"), "value", "count")
+
+
 def invalid_value_profile(df: DataFrame, rules, label: str = NULL_LABEL) -> DataFrame:
     """(column_name, value, count) over the rows that break each rule."""
     rs = as_rules(rules)
-    prof = _long_profile(df, rs, label, with_total=False)
-    names = F.element_at(F.array(*[F.lit(r.name) for r in rs]), F.col("rule") + 1)
-    return prof.select(names.alias("column_name"), "value", "count")
+    return profile_rows(_long_profile(df, rs, label, with_total=False), rs)
+
+
+def kept_profile(df: DataFrame, rules, label: str = NULL_LABEL, name: str = "profile") -> DataFrame:
+    """The long profile (rule, value, count) with its row-count marker, written once to the
+    shared folder: counts, failing values and texts are then read from it, and the table
+    itself is scanned once.
+
+    Counts are sums of the written rows, so a lost executor or a repeated write cannot
+    count a row twice (metrics observed while writing could: tasks that are run again
+    report again).
+    """
+    return stage(_long_profile(df, as_rules(rules), label, with_total=True), df.sparkSession, name)
+
+
+def profile_counts(profile: DataFrame, rules, database: str | None = None, table: str | None = None) -> DataFrame:
+    """The scorecard's counts of a long profile: one row per rule."""
+    return _counted(_summed(profile, as_rules(rules)), database, table)
+
+
+def profile_parts(profile: DataFrame, rules, part_bytes: int = 16 << 20, name: str = "parts") -> DataFrame:
+    """(column, part, text): the JSON texts of a long profile in parts of ``part_bytes`` (see
+    :func:`vigil.functions.text.ordered_parts`); ``[]`` as part 0 for a rule that none breaks."""
+    rs = as_rules(rules)
+    spark = profile.sparkSession
+    parts = ordered_parts(
+        profile.where(f"rule != {_TOTAL}"), keep=lambda rows: stage(rows, spark, name), part_bytes=part_bytes, **_JSON
+    )
+    listed = _listed(spark, rs)
+    return listed.join(parts, F.col("_no") == F.col("rule"), "left").selectExpr(
+        "column", "coalesce(part, 0) AS part", "coalesce(text, '[]') AS text"
+    )
+
+
+def invalid_profile_parts(df: DataFrame, rules, label: str = NULL_LABEL, part_bytes: int = 16 << 20) -> DataFrame:
+    """The texts of :func:`invalid_profile_json` as rows (column, part, text) of bounded size: a
+    rule's texts concatenate, by ``part``, to its one text.  For columns with any number of
+    failing values; writes its sorted values to the shared folder when called."""
+    rs = as_rules(rules)
+    return profile_parts(_long_profile(df, rs, label, with_total=False), rs, part_bytes)
+
+
+#: How the JSON text of a rule is put together from its failing values.
+_JSON = {
+    "group": "rule", "order": ["-count", "value"], "text": "to_json(named_struct('value', value, 'count', count))",
+    "sep": ",", "prefix": "[", "suffix": "]",
+}
 
 
 def _json_texts(prof: DataFrame) -> DataFrame:
     """(rule, data_invalid): ``[{"value":..,"count":..},...]`` count desc, value asc."""
-    return ordered_concat(
-        prof,
-        group="rule",
-        order=["-count", "value"],
-        text="to_json(named_struct('value', value, 'count', count))",
-        sep=",",
-        prefix="[",
-        suffix="]",
-        alias="data_invalid",
-    )
+    return ordered_concat(prof, alias="data_invalid", **_JSON)
 
 
 def _distinct_texts(prof: DataFrame, alias: str) -> DataFrame:
@@ -221,13 +273,17 @@ def _distinct_texts(prof: DataFrame, alias: str) -> DataFrame:
     return ordered_concat(prof, group="rule", order=["value"], text="value", sep="|", alias=alias)
 
 
+def _listed(spark, rules: list[Rule]) -> DataFrame:
+    """(_no, column) of every rule."""
+    names = ", ".join(sql_string(r.name) for r in rules)
+    return spark.range(1).selectExpr(f"posexplode(array({names})) AS (_no, column)")
+
+
 def _texts_per_rule(df: DataFrame, rules, label: str, texts, column: str, empty: str) -> DataFrame:
     """(column, <text>) for every rule, from one scan; ``empty`` for a rule that none breaks."""
     rs = as_rules(rules)
     found = texts(_long_profile(df, rs, label, with_total=False))
-    names = ", ".join(sql_string(r.name) for r in rs)
-    listed = df.sparkSession.range(1).selectExpr(f"posexplode(array({names})) AS (_no, column)")
-    return listed.join(found, F.col("_no") == F.col("rule"), "left").selectExpr(
+    return _listed(df.sparkSession, rs).join(found, F.col("_no") == F.col("rule"), "left").selectExpr(
         "column", f"coalesce({column}, {sql_string(empty)}) AS {column}"
     )
 
@@ -262,10 +318,34 @@ def _counts_only(df: DataFrame, rules: list[Rule], database, table) -> DataFrame
         f"named_struct('column', {sql_string(r.name)}, 'count_data', _n, 'count_valid', _n - _b{i})"
         for i, r in enumerate(rules)
     )
-    return agg.selectExpr(f"inline(array({per_rule}))").selectExpr(
+    return _counted(agg.selectExpr(f"inline(array({per_rule}))"), database, table)
+
+
+def _summed(prof: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(rule, column, count_data, count_valid) of a long profile.
+
+    Violations per rule (at most one row a rule, and the marker's count is the row count) are
+    folded into one row with a rule -> count map (bounded by the rule list), then one row
+    per rule comes from the rule list itself.
+    """
+    per_rule = prof.groupBy("rule").agg(F.sum("count").alias("c"))
+    summary = per_rule.selectExpr(
+        f"coalesce(max(CASE WHEN rule = {_TOTAL} THEN c END), 0) AS _n",
+        "map_from_entries(collect_list(struct(rule, c))) AS _bad",
+    )
+    names = ", ".join(sql_string(r.name) for r in rules)  # a literal array: folded to one constant
+    return summary.selectExpr("_n", "_bad", f"posexplode(array({names})) AS (rule, column)").selectExpr(
+        "rule", "column", "_n AS count_data", "_n - coalesce(_bad[rule], 0) AS count_valid"
+    )
+
+
+def _counted(counts: DataFrame, database, table, *more: str) -> DataFrame:
+    """The scorecard's columns from rows with column, count_data and count_valid."""
+    return counts.selectExpr(
         *_head(database, table),
         "CASE WHEN count_data > 0 THEN (count_data - (count_data - count_valid)) / count_data * 100 "
         "ELSE CAST(0 AS DOUBLE) END AS percentage_valid",
+        *more,
     )
 
 
@@ -285,8 +365,8 @@ def scorecard(
     column (``invalid=None``: one ``count_if`` aggregate, no profile at all).
 
     A rule's text is one cell, so it is bounded by Spark's 2 GB string limit;
-    for columns with billions of distinct failing values use ``invalid=None``
-    together with :func:`invalid_value_profile`.
+    for columns with billions of distinct failing values use :func:`kept_profile` with
+    :func:`profile_counts`, :func:`profile_rows` and :func:`profile_parts`.
     """
     rs = as_rules(rules)
     if invalid not in ("json", "distinct", None):
@@ -294,19 +374,7 @@ def scorecard(
     if invalid is None:
         return _counts_only(df, rs, database, table)
     prof = _long_profile(df, rs, label, with_total=True)
-
-    # counts: violations per rule (<= #rules + 1 rows, the marker's count is
-    # the row count), folded into one row with a rule -> count map (bounded by
-    # the rule list), then one row per rule from the rule list itself.
-    per_rule = prof.groupBy("rule").agg(F.sum("count").alias("c"))
-    summary = per_rule.selectExpr(
-        f"coalesce(max(CASE WHEN rule = {_TOTAL} THEN c END), 0) AS _n",
-        "map_from_entries(collect_list(struct(rule, c))) AS _bad",
-    )
-    names = ", ".join(sql_string(r.name) for r in rs)  # a literal array: folded to one constant
-    counts = summary.selectExpr("_n", "_bad", f"posexplode(array({names})) AS (rule, column)").selectExpr(
-        "rule", "column", "_n AS count_data", "_n - coalesce(_bad[rule], 0) AS count_valid"
-    )
+    counts = _summed(prof, rs)
 
     if invalid == "json":
         texts, text_col, empty = _json_texts(prof), "data_invalid", "[]"
@@ -318,9 +386,4 @@ def scorecard(
     # pushing it into the profile aggregate: the two branches then share one
     # profile exchange (ReusedExchange), i.e. one scan of the table.
     joined = counts.join(texts, counts["rule"].eqNullSafe(texts["rule"]), "left")
-    return joined.selectExpr(
-        *_head(database, table),
-        f"CASE WHEN count_data > 0 THEN (count_data - (count_data - count_valid)) / count_data * 100 "
-        f"ELSE CAST(0 AS DOUBLE) END AS percentage_valid",
-        f"coalesce({text_col}, {sql_string(empty)}) AS {text_col}",
-    )
\ No newline at end of file
+    return _counted(joined, database, table, f"coalesce({text_col}, {sql_string(empty)}) AS {text_col}")
\ No newline at end of file
