@@ -1,6 +1,8 @@
 import json
 import shutil
 
+import pytest
+
 from tests.conftest import SF_SMALL
 from vigil.operators.completeness import scorecard
 from vigil.streaming.micro_batch import score_micro_batches
@@ -45,3 +47,17 @@ def test_restart_scores_only_new_files(spark, tmp_path):
     per_batch = {r["batch_id"]: r["n"] for r in got.groupBy("batch_id").count().withColumnRenamed("count", "n").collect()}
     assert per_batch == {0: len(RULES), 1: len(RULES)}
     assert {r["count_data"] for r in got.collect()} == {batch.count()}
+
+
+def test_a_new_checkpoint_does_not_overwrite_old_batches(spark, tmp_path):
+    batch = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    shutil.copy(f"{SF_SMALL}/orders.parquet", landing / "part-0.parquet")
+    stream = spark.readStream.schema(batch.schema).parquet(str(landing))
+    start = lambda **at: score_micro_batches(stream, RULES, str(tmp_path / "out"), available_now=True, **at)
+    start().awaitTermination(120)
+    start().awaitTermination(120)  # the default checkpoint lies beside the results
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start(checkpoint=str(tmp_path / "new"))
+    assert spark.read.parquet(str(tmp_path / "out" / "df_dqu_completeness")).count() == len(RULES)

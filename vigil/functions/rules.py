@@ -106,9 +106,9 @@ def used_columns(df: DataFrame, expressions: list[str]) -> list[str]:
     the order of ``df``; read off the analyzed plan, so names may be in any case."""
     if not hasattr(df, "_jdf"):  # Spark Connect shows no plan
         return df.columns
-    found = df.selectExpr(*expressions)._jdf.queryExecution().analyzed().references().toSeq()
-    names = {found.apply(i).name() for i in range(found.size())}
-    return [c for c in df.columns if c in names]
+    ids = lambda attributes: [attributes.apply(i).exprId().id() for i in range(attributes.size())]
+    read = set(ids(df.selectExpr(*expressions)._jdf.queryExecution().analyzed().references().toSeq()))
+    return [c for c, i in zip(df.columns, ids(df._jdf.queryExecution().analyzed().output())) if i in read]
 
 
 def predicate(rule: Rule | str) -> Column:

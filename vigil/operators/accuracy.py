@@ -155,13 +155,14 @@ def parse_keys(keys) -> list[str]:
     return out
 
 
-def _validate(source: DataFrame, target: DataFrame, keys: list[str], rules: list[AccuracyRule], checks: list[str]):
-    for side, df, cols in (
-        ("source", source, [r.source_col for r in rules]),
-        ("target", target, [r.target_col for r in rules]),
+def _validate(source: DataFrame, target: DataFrame, keys: list[str], rules: list[AccuracyRule], checks: list[str],
+              target_keys: list[str] | None = None):
+    for side, df, by, cols in (
+        ("source", source, keys, [r.source_col for r in rules]),
+        ("target", target, target_keys or keys, [r.target_col for r in rules]),
     ):
-        fields = {f.name: f.dataType for f in _aligned(df, [*keys, *cols]).schema.fields}
-        for k in keys:
+        fields = {f.name: f.dataType for f in _aligned(df, [*by, *cols]).schema.fields}
+        for k in by:
             if k not in fields:
                 raise ValueError(f"{side} has no key column {k!r}")
         for c in cols:
@@ -274,23 +275,12 @@ def reconcile_outer(
     if len(theirs) != len(keys):
         raise ValueError(f"{len(keys)} source keys and {len(theirs)} target keys: {keys} and {theirs}")
     checks = [f"{r.name}{check_suffix}" for r in rules]
-    # the target's keys under the source's names; its rule columns are carried apart
-    target = _aligned(target, [*theirs, *(r.target_col for r in rules)])
-    lacking = [c for c in [*theirs, *(r.target_col for r in rules)] if c not in target.columns]
-    if lacking:
-        raise ValueError(f"target has no column {lacking[0]!r}")
-    target = target.select(
-        *[F.col(_q(t)).alias(f"_key{i}") for i, t in enumerate(theirs)],
-        *[F.col(_q(c)).alias(f"_of {c}") for c in dict.fromkeys(r.target_col for r in rules)],
-    )
-    named = target.select(
-        *[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)],
-        *[F.col(_q(f"_of {c}")).alias(c) for c in dict.fromkeys(r.target_col for r in rules) if c not in keys],
-    )
-    _validate(source, named, keys, rules, [*checks, "presence"])
+    _validate(source, target, keys, rules, [*checks, "presence"], theirs)
     mark = F.lit(True)
     s = side_aggregates(source, keys, rules, "source").withColumn("_here", mark).alias("s")
-    t = side_aggregates(named, keys, rules, "target").withColumn("_here", mark).alias("t")
+    t = side_aggregates(target, theirs, rules, "target").withColumn("_here", mark)
+    t = t.withColumnsRenamed({a: f"_key{i}" for i, a in enumerate(theirs)})
+    t = t.withColumnsRenamed({f"_key{i}": k for i, k in enumerate(keys)}).alias("t")
     joined = s.join(t, [F.col(f"s.{_q(k)}") == F.col(f"t.{_q(k)}") for k in keys], how)
     cols = [f"coalesce(s.{_q(k)}, t.{_q(k)}) AS {_q(k)}" for k in keys]
     cols.append("CASE WHEN s._here AND t._here THEN 'both' WHEN s._here THEN 'source' ELSE 'target' END AS presence")

@@ -53,9 +53,9 @@ def availability(
     last = F.expr(f"INTERVAL 1 {one}")
     calendar = df.sparkSession.range(1).select(
         first.cast("timestamp_ntz").alias("_first"), after.cast("timestamp_ntz").alias("_after")
-    ).where("_first < _after").select(
-        F.explode(F.sequence(start(F.col("_first")), F.col("_after") - F.expr("INTERVAL 1 SECOND"), last)).alias("_at")
     )
+    steps = F.sequence(start(F.col("_first")), F.col("_after") - F.expr("INTERVAL 1 SECOND"), last)
+    calendar = calendar.select(F.explode(F.when(F.col("_first") < F.col("_after"), steps)).alias("_at"))
     return calendar.join(counts, "_at", "left").select(
         F.lit(database).cast("string").alias("database"),
         F.lit(table).cast("string").alias("table"),

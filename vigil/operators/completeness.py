@@ -355,7 +355,8 @@ def scorecard(
     database: str | None = None,
     table: str | None = None,
     label: str = NULL_LABEL,
-    invalid: str = "json",
+    invalid: str | None = "json",
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """The completeness scorecard, one row per rule.
 
@@ -366,14 +367,15 @@ def scorecard(
 
     A rule's text is one cell, so it is bounded by Spark's 2 GB string limit;
     for columns with billions of distinct failing values use :func:`kept_profile` with
-    :func:`profile_counts`, :func:`profile_rows` and :func:`profile_parts`.
+    :func:`profile_counts`, :func:`profile_rows` and :func:`profile_parts`.  ``profile`` is such a kept
+    profile of ``df``, read in place of the table.
     """
     rs = as_rules(rules)
     if invalid not in ("json", "distinct", None):
         raise ValueError("invalid must be 'json', 'distinct' or None")
     if invalid is None:
         return _counts_only(df, rs, database, table)
-    prof = _long_profile(df, rs, label, with_total=True)
+    prof = profile if profile is not None else _long_profile(df, rs, label, with_total=True)
     counts = _summed(prof, rs)
 
     if invalid == "json":

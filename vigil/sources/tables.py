@@ -63,7 +63,8 @@ class JdbcTables:
     Credentials and driver class come from the caller (``properties``), never
     from the catalog.  Reader options in the catalog entry (``fetch_size`` /
     ``fetchsize``, ``partition_column``...) and ``partitioning`` given here
-    make the read parallel; see :func:`vigil.sources.jdbc.reader_options`.
+    make the read parallel; see :func:`vigil.sources.jdbc.reader_options`.  Without any,
+    ``split="auto"`` (the default) picks a column to split on; ``None`` reads in one task.
     """
 
     def __init__(
@@ -73,8 +74,9 @@ class JdbcTables:
         properties: dict | None = None,
         partitioning: dict | None = None,
         fetchsize: int | None = None,
+        split: str | None = "auto",
     ):
-        self.spark, self.url = spark, url
+        self.spark, self.url, self.split = spark, url, split
         self.properties = dict(properties or {})
         self.partitioning = dict(partitioning or {})
         self.fetchsize = fetchsize
@@ -87,6 +89,7 @@ class JdbcTables:
             properties=self.properties,
             catalog_options=ref.options,
             fetchsize=self.fetchsize,
+            split=self.split,
             **part,
         )
         return _jdbc.read(self.spark, opts)

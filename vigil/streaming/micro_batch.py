@@ -8,18 +8,25 @@ overwrites only its own folder, so a batch that is retried after a failure
 replaces its earlier partial output instead of appending twice; with the
 stream's checkpoint in the shared folder, a restarted query resumes at the
 first unfinished batch.
+
+Batch numbers belong to a checkpoint, so results and checkpoint go together: the
+default checkpoint lies beside the results, and a checkpoint without history is
+refused over a root that already holds batches, which it would overwrite.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.functions.rules import NULL_LABEL
 from vigil.operators.completeness import scorecard
-from vigil.sources.sinks import COMPLETENESS_TABLE, shared_dir
+from vigil.sources.sinks import COMPLETENESS_TABLE
+
+
+def _exists(spark, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def score_micro_batches(
@@ -37,8 +44,10 @@ def score_micro_batches(
 ) -> StreamingQuery:
     """Start the streaming query; returns it (call ``awaitTermination`` or ``stop``)."""
     spark = stream.sparkSession
-    ckpt = checkpoint or os.path.join(shared_dir(spark), "vigil-streams", f"{database}.{table}.{name}")
-    out = f"{root.rstrip('/')}/{name}"
+    root = root.rstrip("/")
+    ckpt, out = checkpoint or f"{root}/_checkpoints/{name}", f"{root}/{name}"
+    if _exists(spark, out) and not _exists(spark, f"{ckpt}/offsets"):
+        raise ValueError(f"{out} holds batches of another checkpoint than {ckpt}, which would be overwritten")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         card = scorecard(batch, rules, database, table, label=label)
