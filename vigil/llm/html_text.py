@@ -66,23 +66,35 @@ class _Tree(HTMLParser):
         self.by_name: list[int] = []  # cut for a class or id alone
         self.flow: list[tuple[int, str | None]] = []
         self.open = [0]
+        self.places: dict[str, list[int]] = {}  # by tag, where its open elements stand in ``open``
 
     def _border(self):
         self.flow.append((self.open[-1], None))
 
+    def _push(self, node):
+        self.places.setdefault(self.tag[node], []).append(len(self.open))
+        self.open.append(node)
+
+    def _cut_to(self, k):
+        """Close all open elements from the ``k``-th on."""
+        for node in reversed(self.open[k:]):
+            self.places[self.tag[node]].pop()
+        del self.open[k:]
+
+    def _last(self, tags) -> int:
+        """The place of the innermost open element with one of ``tags``; 0 if there is none."""
+        return max([at[-1] for at in map(self.places.get, tags) if at], default=0)
+
     def _close(self, tag, among) -> bool:
         """Close the innermost open ``tag``, if no element of ``among`` lies inside out of it."""
-        for k in range(len(self.open) - 1, 0, -1):
-            name = self.tag[self.open[k]]
-            if name == tag:
-                del self.open[k:]
-                return True
-            if name in among:
-                return False
-        return False
+        k = self._last((tag,))
+        if not k or self._last(among) > k:
+            return False
+        self._cut_to(k)
+        return True
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body") and len(self.open) > 1 and tag in (self.tag[i] for i in self.open):
+        if len(self.open) > 1 and (tag == "html" or tag == "body" and self._last(("body",))):
             return
         if tag == "body":
             self._close("head", ("template",))
@@ -102,7 +114,7 @@ class _Tree(HTMLParser):
             self._border()
         up, node = self.open[-1], len(self.parent)
         a = {k: (v or "").lower() for k, v in attrs}
-        cut = tag in CUT_TAGS or (tag == "header" and not self._within("article"))
+        cut = tag in CUT_TAGS or (tag == "header" and not self._last(("article",)))
         cut = cut or a.get("role") in CUT_ROLES or "hidden" in a or a.get("aria-hidden") == "true"
         cut = cut or bool(_HIDDEN.search(a.get("style", "")))
         if not cut and tag not in KEPT_TAGS:
@@ -114,30 +126,24 @@ class _Tree(HTMLParser):
         self.cut.append(self.cut[up] or cut)
         self.link.append(self.link[up] or tag == "a")
         if tag not in VOID:
-            self.open.append(node)
-
-    def _within(self, tag):
-        return any(self.tag[i] == tag for i in self.open)
+            self._push(node)
 
     def _end_head(self):
         """Close an open head that is the innermost open element."""
-        if self.tag[self.open[-1]] == "head":
-            self.open.pop()
+        if self.tag[self.open[-1]] == "head" and len(self.open) > 1:
+            self._cut_to(len(self.open) - 1)
 
     def _foreign(self, tag) -> bool:
         """Whether ``tag``, if it starts here, is of SVG or MathML."""
         if tag in FOREIGN:
             return True
-        for i in reversed(self.open):
-            if self.tag[i] in FOREIGN or self.tag[i] in HTML_AGAIN:
-                return self.tag[i] in FOREIGN
-        return False
+        return self._last(FOREIGN) > self._last(HTML_AGAIN)
 
     def handle_startendtag(self, tag, attrs):
         closed, nodes = tag not in VOID and self._foreign(tag), len(self.parent)
         self.handle_starttag(tag, attrs)  # outside SVG and MathML the slash of <p/> means nothing
         if closed and len(self.parent) > nodes:
-            self.open.pop()
+            self._cut_to(len(self.open) - 1)
             if tag not in INLINE:
                 self._border()
 
@@ -238,14 +244,11 @@ def main_text(html: str) -> str:
                     kept.add(i)
     # lists of links inside what is kept are menus, but an article's own are part of it
     links = [0] * n
-    for i in range(1, n):
+    for i in range(n - 1, 0, -1):
         if tag[i] == "a":
-            up = parent[i]
-            while up >= 0 and tag[up] in INLINE:
-                up = parent[up]
-            while up >= 0 and tag[up] in ("li", "ul", "ol"):
-                links[up] += 1
-                up = parent[up]
+            links[block[parent[i]]] += 1
+        if tag[i] in ("li", "ul", "ol") and tag[parent[i]] in ("li", "ul", "ol"):
+            links[parent[i]] += links[i]
     inside = [False] * n
     for i in range(n):
         menu = whole is None and tag[i] in ("ul", "ol") and links[i] >= 3 and linked[i] > 0.8 * size[i]
