@@ -1,18 +1,16 @@
-"""Ordered text aggregation that does not funnel a whole group through one task.
+"""Ordered text aggregation: a group's values as one text, or as parts of bounded size.
 
 A rule's failing values can be asked for as one text (a JSON list sorted by count,
-or a ``|``-joined list).  The text is one cell,
-so its final bytes must meet in one place; everything before that is spread:
-
-1. a range-partitioned global sort on (group, order keys) cuts even a single
-   huge group into contiguous, ordered slices, one per partition;
-2. each (group, slice) is concatenated in order on its own (bounded by the
-   slice size);
-3. the slices of a group are joined in slice order - at most one element per
-   shuffle partition, so this last step handles ``#partitions`` strings, not
-   ``#values`` rows.
-
-On small inputs AQE coalesces the shuffles to a handful of tasks.
+or a ``|``-joined list).  Two forms:
+
+* :func:`ordered_concat` makes one cell per group.  A cell is made, whole, by one task, and
+  Spark caps it at 2 GB; so the task may as well gather and sort the group's texts
+  itself, at several times the cell's memory.  One shuffle of the distinct values,
+  and nothing else: the form for results that someone reads.
+* :func:`ordered_parts` makes rows of bounded size that concatenate to the same text, for
+  groups of any size: a global sort cuts even a single huge group into slices, byte
+  offsets are summed over slices and then within them, and no task ever holds
+  more than a part and its share of the sorted rows.
 """
 
 from __future__ import annotations
@@ -40,25 +38,13 @@ def ordered_concat(
     ``order`` lists ascending sort keys and ``text`` the piece of text, both
     as SQL expressions over ``df`` (negate a number to sort it descending).
     Rows with NULL text are skipped (``listagg`` leaves them out).  Groups without
-    texts do not appear; callers fill them with their own empty value.
+    texts do not appear; callers fill them with their own empty value.  One task
+    gathers a group's texts: see :func:`ordered_parts` for groups of any size.
     """
     keys = [f"_k{i}" for i in range(len(order))]
-    slim = df.selectExpr(
-        f"{group} AS _g", *[f"{o} AS {k}" for o, k in zip(order, keys)], f"{text} AS _t"
-    )
-
-    # 1. global order; the partition index of a row is its slice number.
-    sliced = slim.orderBy("_g", *keys).selectExpr("*", "spark_partition_id() AS _s")
-
-    sep_sql = sql_string(sep)
-    order_sql = ", ".join(keys)
-    # 2. one ordered piece per (group, slice).
-    pieces = sliced.groupBy("_g", "_s").agg(
-        F.expr(f"listagg(_t, {sep_sql}) WITHIN GROUP (ORDER BY {order_sql}) AS _piece")
-    )
-    # 3. pieces of a group, in slice order.
-    joined = pieces.groupBy("_g").agg(F.expr(f"listagg(_piece, {sep_sql}) WITHIN GROUP (ORDER BY _s) AS _all"))
-    return joined.where("_all IS NOT NULL").selectExpr(
+    slim = df.selectExpr(f"{group} AS _g", *[f"{o} AS {k}" for o, k in zip(order, keys)], f"{text} AS _t")
+    whole = f"listagg(_t, {sql_string(sep)}) WITHIN GROUP (ORDER BY {', '.join(keys)}) AS _all"
+    return slim.groupBy("_g").agg(F.expr(whole)).where("_all IS NOT NULL").selectExpr(
         f"_g AS {group}", f"concat({sql_string(prefix)}, _all, {sql_string(suffix)}) AS {alias}"
     )
 
