@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import materialize
+from vigil.llm.spread import told_apart
 
 #: Java regex of a word, and of a line that has one.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -103,9 +104,10 @@ def _windows(level: DataFrame, min_words: int) -> DataFrame:
 
 
 def _once(source: DataFrame) -> DataFrame:
-    """One row per ``d``.  The texts are shuffled only if a ``d`` comes more than once."""
+    """One row per ``d``.  Only rows whose ``d`` comes more than once are shuffled."""
     copied = materialize(source.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d"), "copies")
-    return source if copied.isEmpty() else source.dropDuplicates(["d"])
+    several, single = told_apart(source, F.col("d"), copied)
+    return single.union(several.dropDuplicates(["d"]))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
@@ -167,7 +169,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = materialize(repeated_lines(docs, id_col, text_col, min_words), "gone")
     text = F.col(f"_doc.`{text_col}`").cast("string")
     whole = docs.select(_key(id_col, text_col).alias("d"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
-    split = whole.join(gone, "d", "left").select("_doc", "lines", _lines(text).alias("_lines"))
+    # few documents lose lines: the others are not shuffled
+    losing, whole = told_apart(whole, F.col("d"), gone.select("d"))
+    whole = losing.join(gone, "d", "left").unionByName(whole.withColumn("lines", F.lit(None).cast(gone.schema["lines"].dataType)))
+    split = whole.select("_doc", "lines", _lines(text).alias("_lines"))
     found = split.select(
         "_doc", "lines", "_lines", F.coalesce(_worded(F.col("_lines")), F.array().cast("array<int>")).alias("_worded")
     )
