@@ -5,8 +5,8 @@ projected vectors.  A query takes a window around its own projection in each
 array and counts, per vector, in how many windows it lies.  *Virtual rehashing*
 widens all windows together by the search radius; a vector that lies in enough
 windows is verified by its exact inner product.  A vector at the radius or nearer
-lies in a window with probability 0.68, so among 96 functions it passes the
-threshold of 0.6 with probability 0.96 and more.  The search ends when the k-th
+lies in a window with probability 0.68, so among 24 functions it passes the
+threshold of 0.45 with probability 0.99 and more.  The search ends when the k-th
 best verified vector is within the radius: all better ones had that chance.
 
 Largest inner product becomes smallest distance by one more coordinate that fills
@@ -25,13 +25,21 @@ from pyspark.sql.window import Window
 
 from vigil.llm.common import materialize
 
-FUNCTIONS = 96
-THRESHOLD = 0.6
+FUNCTIONS = 24
+THRESHOLD = 0.45
 #: Half a window's width in units of the radius (P(|N(0,1)| <= 1) = 0.683).
 HALF_WINDOW = 1.0
 #: First radius (of distances between 0 and 2) and its growth per round.
-RADIUS, GROWTH = 0.25, 1.2
-BLOCK_VECTORS, CHUNK_QUERIES = 32_768, 512
+RADIUS, GROWTH = 0.25, 1.3
+#: What two sums of the same products can differ by, in units of the vectors' norms.
+ROUNDING = 1e-9
+BLOCK_VECTORS, CHUNK_QUERIES = 16_384, 2_048
+
+
+def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The inner products of the rows of ``x`` with ``q``, each summed from its first component to
+    its last: a row's product depends on nothing but the row, so equal vectors tie."""
+    return np.cumsum(x * q, axis=1)[:, -1]
 
 
 class _Index:
@@ -39,47 +47,81 @@ class _Index:
 
     def __init__(self, x: np.ndarray, top: float, seed: int = 7):
         fill = np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1) / top**2))
-        self.x, self.unit = x, np.column_stack([x / top, fill])
-        self.a = np.random.default_rng(seed).standard_normal((self.unit.shape[1], FUNCTIONS))
-        projected = self.unit @ self.a
-        self.order = np.ascontiguousarray(np.argsort(projected, axis=0).T.astype(np.int32))
+        self.x, self.top, unit = x, top, np.column_stack([x / top, fill])
+        self.a = np.random.default_rng(seed).standard_normal((unit.shape[1], FUNCTIONS))
+        projected = unit @ self.a
+        self.order = np.ascontiguousarray(np.argsort(projected, axis=0).T)
         self.sorted = np.take_along_axis(projected.T, self.order, axis=1)
 
-    def search(self, q: np.ndarray, k: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, inner products) verified for the query, its own row ``skip`` left out."""
-        n = len(self.x)
-        point = q / np.linalg.norm(q)
-        at = np.append(point, 0.0) @ self.a
-        counts = np.zeros(n, np.int16)
-        known = np.zeros(n, bool)
-        if skip >= 0:
-            known[skip] = True
-        rows, scores, radius = np.empty(0, np.int64), np.empty(0), RADIUS
-        left = np.array([np.searchsorted(s, v) for s, v in zip(self.sorted, at)])
+    def search(self, queries: np.ndarray, k: int, skip: np.ndarray):
+        """Per query (row of ``queries``) its verified rows and their inner products; ``skip`` is
+        the query's own row here, or -1.
+
+        All queries go through the rounds together: a round finds the windows' ends of all of
+        them by one search per array, then every query counts what its windows have gained.
+        """
+        n, norms = len(self.x), np.linalg.norm(queries, axis=1)
+        at = queries / norms[:, None] @ self.a[:-1]  # a query's own filling coordinate is zero
+        where = lambda values, side: np.stack(
+            [np.searchsorted(s, values[:, j], side) for j, s in enumerate(self.sorted)], axis=1)
+        left = where(at, "left")
         right = left.copy()
-        wanted = min(k, n - (skip >= 0))
-        while len(rows) < n - (skip >= 0):
-            parts, half = [], HALF_WINDOW * radius
-            for j, s in enumerate(self.sorted):
-                lo, hi = np.searchsorted(s, (at[j] - half, at[j] + half))
-                parts += [self.order[j, lo:left[j]], self.order[j, right[j]:hi]]
-                left[j], right[j] = min(lo, left[j]), max(hi, right[j])
-            counts += np.bincount(np.concatenate(parts), minlength=n).astype(np.int16)
-            fresh = np.flatnonzero((counts >= THRESHOLD * FUNCTIONS) & ~known)
-            known[fresh] = True
-            rows = np.append(rows, fresh)
-            scores = np.append(scores, self.x[fresh] @ q)
-            if len(rows) >= wanted:
-                near = self.unit[rows, :-1] @ point
-                kth = np.partition(near, len(near) - wanted)[len(near) - wanted] if wanted else 2.0
-                if np.sqrt(max(0.0, 2 - 2 * kth)) <= radius:
-                    break
-            if radius > 2:  # everything within reach has been seen
-                fresh = np.flatnonzero(~known)
-                rows, scores = np.append(rows, fresh), np.append(scores, self.x[fresh] @ q)
-                break
-            radius *= GROWTH
-        return rows, scores
+        states = [_State(n, int(own)) for own in skip]
+        active, radius = list(range(len(queries))), RADIUS
+        while active:
+            half = HALF_WINDOW * radius
+            lo = np.minimum(where(at[active] - half, "left"), left[active])
+            hi = np.maximum(where(at[active] + half, "right"), right[active])
+            still = []
+            for i, begin, end in zip(active, lo, hi):
+                spans = zip(self.order, begin.tolist(), left[i].tolist(), right[i].tolist(), end.tolist())
+                gained = np.concatenate([part for s, a, b, c, d in spans for part in (s[a:b], s[c:d])])
+                if not states[i].count(self, gained, queries[i], norms[i], k, radius):
+                    still.append(i)
+            left[active], right[active] = lo, hi
+            active, radius = still, radius * GROWTH
+        return [state.best(self, q, k) for state, q in zip(states, queries)]
+
+
+class _State:
+    """What one query has counted and verified in a block."""
+
+    def __init__(self, n: int, own: int):
+        self.counts, self.known = np.zeros(n, np.int16), np.zeros(n, bool)
+        if own >= 0:
+            self.known[own] = True
+        self.candidates = n - (own >= 0)
+        self.rows, self.scores, self.every = np.empty(0, np.int64), np.empty(0), None
+
+    def _verify(self, index: _Index, fresh: np.ndarray, q: np.ndarray) -> None:
+        self.known[fresh] = True
+        if self.every is None and 8 * len(fresh) > len(self.known):  # cheaper than gathering so many rows
+            self.every = index.x @ q
+        scores = index.x[fresh] @ q if self.every is None else self.every[fresh]
+        self.rows, self.scores = np.append(self.rows, fresh), np.append(self.scores, scores)
+
+    def best(self, index: _Index, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The verified rows that can be among the ``k`` best, with their exact products: all whose
+        quick product is within rounding of the k-th."""
+        rows = self.rows
+        if len(rows) > k:
+            kth = np.partition(self.scores, len(rows) - k)[len(rows) - k]
+            rows = rows[self.scores >= kth - ROUNDING * index.top * np.linalg.norm(q)]
+        return rows, products(index.x[rows], q)
+
+    def count(self, index, gained, q, norm, k, radius) -> bool:
+        """Count the rows that the windows have gained and verify those over the threshold; whether
+        the search is over: the k-th best is within the radius, or no row is left."""
+        self.counts += np.bincount(gained, minlength=len(self.counts)).astype(np.int16)
+        self._verify(index, np.flatnonzero((self.counts >= THRESHOLD * FUNCTIONS) & ~self.known), q)
+        wanted = min(k, self.candidates)
+        if len(self.rows) >= wanted:
+            near = np.partition(self.scores, len(self.rows) - wanted)[len(self.rows) - wanted] if wanted else np.inf
+            if np.sqrt(max(0.0, 2 - 2 * near / (index.top * norm))) <= radius:
+                return True
+        if radius > 2:  # everything within reach has been seen
+            self._verify(index, np.flatnonzero(~self.known), q)
+        return len(self.rows) == self.candidates
 
 
 def nearest(vectors: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id",
@@ -126,8 +168,10 @@ def nearest(vectors: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_i
             ids = block["_id"].to_numpy()
             order = np.argsort(np.argsort(block["_id"].to_numpy(), kind="stable"), kind="stable")
             own = dict(zip(block["_row"].tolist(), range(len(block))))
-            for qrow, qid, q in zip(chunk["_row"].tolist(), chunk["_id"].tolist(), chunk["_v"]):
-                found, scores = index.search(np.asarray(q, np.float64), k, own.get(qrow, -1))
+            qrows = chunk["_row"].tolist()
+            queries = np.stack(chunk["_v"].to_numpy()).astype(np.float64)
+            answers = index.search(queries, k, np.array([own.get(r, -1) for r in qrows]))
+            for qrow, qid, (found, scores) in zip(qrows, chunk["_id"].tolist(), answers):
                 best = np.lexsort((order[found], -scores))[:k]
                 out["_qrow"] += [qrow] * len(best)
                 out["_qid"] += [qid] * len(best)
