@@ -20,8 +20,9 @@ found sizes each context's table: at most one slot in SPARE is filled, so that t
 tables, and the memory they take, grow with the training text.  The documents that are learned from are split:
 most fill the tables, the rest teach the mixer and the map, as predictions of
 texts already counted would look better than they are.  Both read all of their
-documents.  Every text is scored from the same start, so scores do not depend on
-how the input is partitioned.
+documents.  The teaching documents are dealt to tasks by id and text and sorted there, so
+many tasks as their number asks for, and every text is scored from the same start: scores
+do not depend on how the input is partitioned (but for the rounding of sums over tasks).
 """
 
 from __future__ import annotations
@@ -46,8 +47,9 @@ CONTEXTS = 3
 #: Bits of the number of slots of a context's table: least and most (a bit of the hash is the decision's).
 SLOT_BITS = 21
 MOST_BITS = 31
-#: Slots per distinct key, at least.
+#: Slots per distinct key, at least; a slot is one byte, log odds times SCALE.
 SPARE = 4
+SCALE = 16
 #: Bits of the number of slices in which a context's keys are added up.
 SLICE_BITS = 8
 #: Steps of the map, symbols worked on at once, learning rates of mixer and text.
@@ -61,6 +63,8 @@ GATES = 8  # per node: which of the contexts are known
 TEXT_RATE = 0.002
 #: One in so many of the training documents teaches the mixer and the map.
 TUNE_PART = 32
+#: Documents from which one task teaches its mixer.
+TUNE_DOCUMENTS = 2048
 FIRST_CHECK = 64
 
 # Odd multipliers of the hashes; contexts and tree nodes meet in 32 bits.
@@ -298,7 +302,7 @@ def slot_bits(keys: int) -> int:
 
 def context_tables(texts: DataFrame, tree: Tree) -> list[tuple[int, dict[int, bytes]]]:
     """Per context the bits of its number of slots and the compressed slices of the trained
-    table of log odds times 256 (16-bit); 0 is a slot never met."""
+    table of log odds times SCALE (8-bit); 0 is a slot never met."""
     counted = materialize(key_counts(texts, tree), "keys")
     n_keys = [0] * CONTEXTS
     for r in counted.groupBy(F.shiftright("slice", SLICE_BITS).alias("c")).agg(F.sum("n_keys").alias("n")).collect():
@@ -314,7 +318,7 @@ def context_tables(texts: DataFrame, tree: Tree) -> list[tuple[int, dict[int, by
                 slots = ((keys >> np.uint32(32 - own)) & np.uint32(width - 1)).astype(np.int64)
                 n = np.bincount(2 * slots + (keys & np.uint32(1)), counts, 2 * width)
                 zero, one = n.reshape(width, 2).T
-                odds = np.clip(256 * np.log((one + 0.3) / (zero + 0.3)), -32000, 32000).astype(np.int16)
+                odds = np.clip(np.rint(SCALE * np.log((one + 0.3) / (zero + 0.3))), -127, 127).astype(np.int8)
                 odds[(odds == 0) & (zero + one > 0)] = 1
                 yield pa.RecordBatch.from_arrays([pa.array([k.as_py()], pa.int32()), pa.array([pa.compress(odds.tobytes(), "zstd", asbytes=True)], pa.binary())],
                                                  ["slice", "odds"])
@@ -336,18 +340,18 @@ class Model:
         # hashes begin with the slot
         bits = [b for b, _ in packed] if tables is None else [len(t).bit_length() - 1 for t in tables]
         self.shifts = [np.uint32(32 - b) for b in bits]
-        self.weights = np.full((CONTEXTS + 1, tree.nodes * GATES), 0.4 / 256, np.float32)
+        self.weights = np.full((CONTEXTS + 1, tree.nodes * GATES), 0.4 / SCALE, np.float32)
         self.weights[CONTEXTS] = 0
         self.map = np.tile(np.linspace(-8, 8, STEPS, dtype=np.float32), (tree.nodes, 1))
 
     @cached_property
     def tables(self):
         """The dense tables, laid out where they are first used: in the tasks."""
-        tables = [np.zeros(1 << b, np.int16) for b, _ in self.packed]
+        tables = [np.zeros(1 << b, np.int8) for b, _ in self.packed]
         for table, (b, slices) in zip(tables, self.packed):
             rows = table.reshape(1 << SLICE_BITS, -1)
             for k, odds in slices.items():
-                rows[k] = np.frombuffer(pa.decompress(odds, rows[k].nbytes, "zstd", asbytes=True), np.int16)
+                rows[k] = np.frombuffer(pa.decompress(odds, rows[k].nbytes, "zstd", asbytes=True), np.int8)
         return tables
 
     def bits(self, contexts, d, s):
@@ -362,7 +366,7 @@ class Model:
         return inputs, gate
 
     def mix(self, inputs, gate):
-        """Log odds by the gates' weights; inputs are log odds times 256."""
+        """Log odds by the gates' weights; inputs are log odds times SCALE."""
         dot = self.weights[CONTEXTS].take(gate)
         for w, odds in zip(self.weights, inputs):
             dot += w.take(gate) * odds
@@ -386,7 +390,7 @@ class Model:
                 seen += times
                 rate = np.minimum(MIXER_RATE, 0.1 / np.maximum(times, 1))
                 for c, odds in enumerate(inputs):
-                    self.weights[c] += rate / 256**2 * np.bincount(gate, error * odds, gates)
+                    self.weights[c] += rate / SCALE**2 * np.bincount(gate, error * odds, gates)
                 self.weights[CONTEXTS] += 0.1 * rate * np.bincount(gate, error, gates)
                 np.add.at(count.reshape(-1), (self.tree.cell[d].take(s) + self.step(dot)) * 2 + bit, 1)
 
@@ -471,12 +475,18 @@ def train_mixer(texts: DataFrame, model: Model) -> None:
         model.map[r["node"]] = np.log((one + 20 * p) / (zero + 20 * (1 - p)))
 
 
-def train(docs: DataFrame, text_col: str, learn: str, tune: str, counts: np.ndarray) -> Model:
+def _dealt(texts: DataFrame) -> DataFrame:
+    """``_text`` of the rows (_id, _text), in tasks and in an order that follow from the rows alone."""
+    parts = max(1, -(-texts.count() // TUNE_DOCUMENTS))
+    return texts.repartition(parts, "_id", "_text").sortWithinPartitions("_id", "_text").select("_text")
+
+
+def train(docs: DataFrame, id_col: str, text_col: str, learn: str, tune: str, counts: np.ndarray) -> Model:
     """The model from the rows where the SQL predicate ``learn`` holds (tables), and ``tune`` (mixer, map)."""
     tree = Tree(counts)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")
     model = Model(tree, packed=context_tables(docs.where(learn).select(text), tree))
-    train_mixer(docs.where(tune).select(text), model)
+    train_mixer(_dealt(docs.where(tune).select(F.col(id_col).alias("_id"), text)), model)
     return model
 
 
@@ -499,7 +509,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     texts = docs.where(f"NOT {held}").count()
     totals = table.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens, kinds = (totals[0] or 0) + texts, totals[1] + (texts > 0)
-    model = train(docs, text_col, f"NOT {held} AND NOT {tune}", f"NOT {held} AND {tune}",
+    model = train(docs, id_col, text_col, f"NOT {held} AND NOT {tune}", f"NOT {held} AND {tune}",
                   symbol_counts(table, texts))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
