@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vigil.llm.common import WS, materialize
+from vigil.llm.spread import told_apart
 
 #: Rules: name, score over the feature columns.
 RULES = {
@@ -161,11 +162,9 @@ def thresholds(labelled: DataFrame, limit: float = 0.05, delta: float = 0.05) ->
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          stratum_col: str = "lang", good_col: str = "quality", limit: float = 0.05, delta: float = 0.05,
-          whole_rows: bool = False) -> DataFrame:
+          stratum_col: str = "lang", good_col: str = "quality", limit: float = 0.05, delta: float = 0.05) -> DataFrame:
     """Per input row: id, the features, ``base_failed`` and ``kept`` (false where the
-    base rules fail or a certified cutoff of the row's stratum is exceeded); with
-    ``whole_rows`` also the row itself as the struct ``_doc``.
+    base rules fail or a certified cutoff of the row's stratum is exceeded).
 
     ``labels`` (``id_col``, ``good_col`` 1 or 0) may cover any part of the documents;
     null labels are no labels, a document with several is good if all say so.  Only
@@ -174,9 +173,21 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ids have no label; repeated rows give a row each, and count one by one in the
     holdout; extra columns are ignored.  Without labels the base rules alone decide.
     """
-    row = {"_id": F.col(id_col), "_stratum": F.col(stratum_col).cast("string")}
-    if whole_rows:
-        row["_doc"] = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return _judged(docs, labels, id_col, text_col, stratum_col, good_col, limit, delta)
+
+
+def _row_key(id_col: str, text_col: str, stratum_col: str) -> Column:
+    """128 bits of SHA-256 of what a row's verdict follows from: its id, its stratum and its text."""
+    known = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    parts = [known(c) for c in (id_col, stratum_col, text_col)]
+    sizes = [F.length(c).cast("string") for c in parts[:2]]
+    return F.substring(F.sha2(F.concat_ws(":", *sizes, *parts), 256), 1, 32)
+
+
+def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, stratum_col: str, good_col: str,
+            limit: float, delta: float, **keep: Column) -> DataFrame:
+    """The columns of :func:`judge`, and those of ``keep``."""
+    row = {"_id": F.col(id_col), "_stratum": F.col(stratum_col).cast("string"), **keep}
     found = materialize(features(docs, text_col, row), "features")
     marks = (
         labels.where(F.col(good_col).isNotNull() & F.col(id_col).isNotNull())
@@ -191,11 +202,20 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # one row per stratum: Spark broadcasts it by its own size check, or joins by key
     out = found.join(cuts, F.col("_stratum").eqNullSafe(F.col("_of")), "left")
     return out.select(
-        F.col("_id").alias(id_col), *numbers, "base_failed", (~F.col("base_failed") & ~exceeded).alias("kept"),
-        *([F.col("_doc")] if whole_rows else []),
+        F.col("_id").alias(id_col), *numbers, "base_failed", (~F.col("base_failed") & ~exceeded).alias("kept"), *keep
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that :func:`judge` keeps."""
-    return judge(docs, labels, whole_rows=True, **options).where("kept").select("_doc.*")
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              stratum_col: str = "lang", good_col: str = "quality", limit: float = 0.05, delta: float = 0.05) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps.
+
+    Only keys and features are written.  Rows that are surely not rejected, by a bitmap of the rejected
+    keys, pass without a shuffle; the others are joined by key.
+    """
+    key = _row_key(id_col, text_col, stratum_col)
+    judged = _judged(docs, labels, id_col, text_col, stratum_col, good_col, limit, delta, _key=key)
+    rejected = materialize(judged.where("NOT kept").select("_key").distinct(), "rejected")
+    whole = docs.select(key.alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    maybe, rest = told_apart(whole, F.col("_key"), rejected)
+    return maybe.join(rejected, "_key", "left_anti").select("_doc.*").unionAll(rest.select("_doc.*"))

@@ -26,12 +26,13 @@ from math import ceil, comb, log2
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm.common import materialize
 from vigil.llm.components import components
+from vigil.llm.spread import told_apart
 
 #: Variants that one bucket holds on average.
 BUCKET_VARIANTS = 3_000_000
@@ -63,14 +64,19 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                 whole_rows: bool = False) -> DataFrame:
-    """Per row: ``_id``, ``_fp`` (the fingerprint as a signed long), and with
-    ``whole_rows`` the row itself as the struct ``_doc``."""
-    cols = [F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")]
-    if whole_rows:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
-    slim = docs.select(*cols)
+def row_key(id_col: str, text_col: str) -> Column:
+    """(id is null, id, 128 bits of SHA-256 of the text): rows with one key are copies of one row."""
+    return F.struct(
+        F.col(id_col).isNull().alias("n"), F.col(id_col).alias("id"),
+        F.substring(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256), 1, 32).alias("h"),
+    )
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
+    """Per row: ``_id``, ``_key`` (:func:`row_key`) and ``_fp`` (the fingerprint as a signed long)."""
+    slim = docs.select(
+        F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), row_key(id_col, text_col).alias("_key")
+    )
     keep = [f for f in slim.schema.fields if f.name != "_text"]
 
     def run(batches):
@@ -179,13 +185,23 @@ def links(distinct: DataFrame, max_bits: int = 4, count: int | None = None) -> D
     return routed.groupBy("_key").applyInArrow(meet, "u long, v long")
 
 
+def _classes(rows: DataFrame, key: Column, max_bits: int) -> DataFrame:
+    """(_fp, _least): per distinct fingerprint ``_fp`` of ``rows`` the least ``key`` of its component."""
+    distinct = materialize(rows.groupBy("_fp").agg(F.min(key).alias("_first")), "distinct")
+    nodes = components(links(distinct, max_bits))
+    rooted = distinct.join(nodes, distinct["_fp"] == nodes["node"], "left").select(
+        "_fp", "_first", F.coalesce("root", "_fp").alias("_root")
+    )
+    whole = rooted.groupBy("_root").agg(F.min("_first").alias("_least"))
+    return materialize(rooted.join(whole, "_root").select("_fp", "_least"), "classes")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                    max_bits: int = 4, whole_rows: bool = False) -> DataFrame:
-    """Per input row: ``id_col``, ``fingerprint`` (16 hexadecimal digits),
-    ``component_id`` (the smallest id reachable through links of at most
-    ``max_bits`` differing bits, its own included) and ``keep`` (true for one row
-    of each component: the smallest id, of equal ids any one); with ``whole_rows``
-    also the row itself as the struct ``_doc``.
+                    max_bits: int = 4) -> DataFrame:
+    """Per input row: ``id_col``, ``fingerprint`` (16 hexadecimal digits), ``component_id`` (the
+    smallest id reachable through links of at most ``max_bits`` differing bits, its own
+    included) and ``keep`` (true for one row of each component: the smallest id, of equal
+    ids any one).
 
     Null and empty texts and texts of white space have fingerprint zero and are
     linked like any other.  Ids may repeat; null ids stay null, come last, and do
@@ -194,29 +210,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives an empty table.
     """
     rows = materialize(
-        fingerprints(docs, id_col, text_col, shingle, whole_rows).withColumn("_row", F.monotonically_increasing_id()),
+        fingerprints(docs, id_col, text_col, shingle).drop("_key").withColumn("_row", F.monotonically_increasing_id()),
         "fingerprints",
     )
-    first = F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("_row").alias("row")))
-    distinct = materialize(rows.groupBy("_fp").agg(first.alias("_first")), "distinct")
-    nodes = components(links(distinct, max_bits))
-    rooted = distinct.join(nodes, distinct["_fp"] == nodes["node"], "left").select(
-        "_fp", "_first", F.coalesce("root", "_fp").alias("_root")
-    )
-    whole = rooted.groupBy("_root").agg(F.min("_first").alias("_least"))
-    table = materialize(rooted.join(whole, "_root").select(F.col("_fp").alias("_key"), "_least"), "classes")
-    out = rows.join(table, rows["_fp"] == table["_key"])
-    return out.select(
+    place = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    return rows.join(_classes(rows, place, max_bits), "_fp").select(
         F.col("_id").alias(id_col),
         F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
         F.col("_least.id").alias("component_id"),
         (F.col("_least.row") == F.col("_row")).alias("keep"),
-        *([F.col("_doc")] if whole_rows else []),
     )
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` of which :func:`near_duplicates` says ``keep``: one of each group."""
-    found = near_duplicates(docs, id_col, text_col, shingle, max_bits, whole_rows=True)
-    return found.where("keep").select("_doc.*")
+    """One row of ``docs`` for each group of :func:`near_duplicates`: the row that ``keep`` marks, of
+    rows equal in id and text any one.
+
+    Only keys and fingerprints are written.  Rows whose key is neither to go nor repeated (nearly
+    all) pass without a shuffle; the others are joined by key.
+    """
+    rows = materialize(fingerprints(docs, id_col, text_col, shingle).select("_key", "_fp"), "fingerprints")
+    counted = rows.groupBy("_key", "_fp").agg(F.count(F.lit(1)).alias("n")).join(
+        _classes(rows, F.col("_key"), max_bits), "_fp"
+    )
+    special = materialize(
+        counted.select("_key", (F.col("_key") == F.col("_least")).alias("keep"), "n").where("NOT keep OR n > 1"), "losers"
+    )
+    keyed = docs.select(row_key(id_col, text_col).alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    maybe, rest = told_apart(keyed, F.col("_key"), special.select("_key"))
+    told = maybe.join(special, "_key", "left")
+    once = told.where("keep").dropDuplicates(["_key"])
+    return told.where("keep IS NULL").select("_doc.*").unionAll(once.select("_doc.*")).unionAll(rest.select("_doc.*"))
