@@ -321,7 +321,8 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, width: int = WIDTH) -> DataF
 
 def spliced_trie(rows: DataFrame, step: int = 5, most: int = 9, width: int = WIDTH, **names) -> DataFrame:
     """The trie of the conversations of ``rows`` rebuilt on others: conversation c begins with the
-    first ``crc32(c as text) % most`` turns of conversation ``c - c % step``."""
+    first ``crc32(c as text) % most`` turns of conversation ``c - c % step`` (remainders as SQL
+    takes them: with the sign of ``c``)."""
     conv = F.col("conv_id")
     turns, convs = splice(
         turns_of(rows, **names), conv - conv % step, F.crc32(conv.cast("string")) % most, most
