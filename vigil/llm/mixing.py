@@ -481,12 +481,13 @@ def _dealt(texts: DataFrame) -> DataFrame:
     return texts.repartition(parts, "_id", "_text").sortWithinPartitions("_id", "_text").select("_text")
 
 
-def train(docs: DataFrame, id_col: str, text_col: str, learn: str, tune: str, counts: np.ndarray) -> Model:
+def train(docs: DataFrame, text_col: str, learn: str, tune: str, counts: np.ndarray, id_col: str | None = None) -> Model:
     """The model from the rows where the SQL predicate ``learn`` holds (tables), and ``tune`` (mixer, map)."""
     tree = Tree(counts)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")
     model = Model(tree, packed=context_tables(docs.where(learn).select(text), tree))
-    train_mixer(_dealt(docs.where(tune).select(F.col(id_col).alias("_id"), text)), model)
+    own = F.col(id_col) if id_col else F.lit("")
+    train_mixer(_dealt(docs.where(tune).select(own.alias("_id"), text)), model)
     return model
 
 
@@ -509,8 +510,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     texts = docs.where(f"NOT {held}").count()
     totals = table.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens, kinds = (totals[0] or 0) + texts, totals[1] + (texts > 0)
-    model = train(docs, id_col, text_col, f"NOT {held} AND NOT {tune}", f"NOT {held} AND {tune}",
-                  symbol_counts(table, texts))
+    model = train(docs, text_col, f"NOT {held} AND NOT {tune}", f"NOT {held} AND {tune}",
+                  symbol_counts(table, texts), id_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     values = table.select("word", "n", F.log10(F.col("n") + 0.5).alias("value"))
