@@ -190,3 +190,29 @@ def test_decimal_columns(spark):
     assert rows[1]["sum_source_amt"] == Decimal("15.01") and rows[1]["amt_accuracy"] is True   # 0.01 <= 0.02
     assert rows[2]["amt_accuracy"] is False                                                      # 0.03 >  0.02
     assert A.reconcile(s, t, "k", rules).count() == 2
+
+
+def test_target_check_is_the_check_and_the_targets_other_keys(sides):
+    s, t = sides
+    rules = list(A.as_accuracy_rules(RULES))
+    rows = s.withColumn("mine", F.lit(True)).unionByName(t.withColumn("mine", F.lit(False)))
+    check = A.target_check(rows, "lac, ci", rules, "mine")
+    assert check.columns == A.accuracy_by_key(s, t, "lac, ci", rules).columns
+    assert sorted((tuple(r) for r in check.collect()), key=repr) == sorted([
+        (1, 1, 2.0, 2.5, True, 11, 11, True),
+        (2, 2, 3.0, 1.0, False, 7, 7, True),
+        (9, 9, None, 1.0, None, None, 1, None),
+        (3, None, None, 9.0, None, None, 1, None),
+        (4, 4, 1.0, None, None, 1, None, None),
+    ], key=repr)
+
+
+def test_outer_join_keys_holds_the_whole_price_check(spark):
+    import __spark_entry__ as E
+
+    rows = E.q_outer_join_keys(spark, SF_SMALL)
+    check = E.q_accuracy_rule_check(spark, SF_SMALL)
+    assert rows.columns == check.columns
+    both = rows.where("price_accuracy IS NOT NULL").distinct()
+    assert both.exceptAll(check).count() == 0 and check.exceptAll(both).count() == 0
+    assert rows.where("max_source_price IS NOT NULL AND max_target_price IS NULL").count() == 0

@@ -14,6 +14,8 @@ Plans (all rules at once, never one pass per rule):
   sides: one grouped aggregate per side, one inner equi-join.
 * :func:`reconcile_outer` - one row per key of either side, marked with the side(s) that
   have it: the same two aggregates, one full outer join.
+* :func:`target_check` - one row per key of the target: both aggregates from one scan of
+  rows that tell the sides apart, one shuffle, no join.
 * :func:`accuracy_report` - one row per *source row* (the report keeps the
   source's duplicate keys, NULL keys and source-only keys, the latter two with
   NULL aggregates and checks).  Instead of joining every source row back to
@@ -293,6 +295,29 @@ def reconcile_outer(
     return joined.selectExpr(*cols)
 
 
+def target_check(rows: DataFrame, keys, rules, of_source: str) -> DataFrame:
+    """:func:`accuracy_by_key` of the rows of both sides in one table, and the target's other keys.
+
+    ``of_source`` is a boolean column, true on the source's rows.  One row per key of the target;
+    the source aggregates and the checks of a key that the source lacks, or with a NULL part (it
+    equals no key), are NULL.  Both sides come from one scan and one map-side-combined aggregate.
+    """
+    keys = parse_keys(keys)
+    rules = as_accuracy_rules(rules)
+    source, target = F.col(_q(of_source)), ~F.col(_q(of_source))
+    _validate(rows, rows, keys, rules, [r.check_alias for r in rules])
+    rows = _aligned(rows, [*keys, of_source, *(c for r in rules for c in (r.source_col, r.target_col))])
+    aggs = [AGGREGATES[r.aggfunc](F.when(source, F.col(_q(r.source_col)))).alias(r.source_alias) for r in rules]
+    aggs += [AGGREGATES[r.aggfunc](F.when(target, F.col(_q(r.target_col)))).alias(r.target_alias) for r in rules]
+    both = rows.groupBy(*map(_q, keys)).agg(*aggs, F.bool_or(target).alias("_here")).where("_here")
+    whole = " AND ".join(f"{_q(k)} IS NOT NULL" for k in keys)
+    cols = [_q(k) for k in keys]
+    for r in rules:
+        src, tgt = f"CASE WHEN {whole} THEN {_q(r.source_alias)} END", _q(r.target_alias)
+        cols += [f"{src} AS {_q(r.source_alias)}", tgt, f"{r.check_sql(src, tgt)} AS {_q(r.check_alias)}"]
+    return both.selectExpr(*cols)
+
+
 def accuracy_report(
     source: DataFrame,
     target: DataFrame,
