@@ -157,6 +157,17 @@ def test_quality_odd_rows(odd, spark):
 # -- tokens -----------------------------------------------------------------------
 
 
+def test_arcs_found_are_forgotten_and_found_again(tokenizer, monkeypatch):
+    """Known words are joined at once, words met first are read with few arcs kept in the trie's nodes."""
+    monkeypatch.setattr(bpe, "HELD_ARCS", 20)
+    a = bpe.TokenAutomaton(BYTE_BPE)
+    texts = ["the the<|endoftext|>the cat", "", "the cat", "a cat sat", *[t for _, t in _docs(SF_SMALL)[:30]]]
+    for _ in range(2):  # the second time every word is known
+        assert [list(array("I", x)) for x in a.encode_all(texts)] == [_ids(tokenizer, t) for t in texts]
+    list(a.ids_of([b"x"]))
+    assert a._arcs <= 20
+
+
 def test_automaton_equals_library(tokenizer):
     a = bpe.automaton(BYTE_BPE)
     rng = np.random.default_rng(0)
