@@ -275,6 +275,25 @@ def test_decisions_are_a_probability():
 # -- nearest neighbours -----------------------------------------------------------
 
 
+def test_compact_tables_hold_what_the_dense_ones_do_in_half_the_bytes():
+    rng = np.random.default_rng(3)
+    bits = mixing.SLOT_BITS
+    dense = np.where(rng.random(1 << bits) < 1 / mixing.SPARE, rng.integers(-127, 128, 1 << bits), 0).astype(np.int8)
+    dense[[0, 63, 64, -1]] = 1, -2, 3, -4
+    width = 1 << (bits - mixing.SLICE_BITS)
+    slices = {k: mixing.pa.compress(dense[k * width:(k + 1) * width].tobytes(), "zstd", asbytes=True)
+              for k in range(1 << mixing.SLICE_BITS)}
+    del slices[5]  # a slice without a key
+    dense[5 * width:6 * width] = 0
+    model = mixing.Model(mixing.Tree([1] * mixing.SYMBOLS), packed=[(bits, slices)])
+    assert (model.tables[0] == dense).all()
+    table = model.compact[0]
+    hashes = (np.arange(1 << bits, dtype=np.uint32) << table.shift) + np.uint32(7)
+    assert table.take(hashes).dtype == np.int8 and (table.take(hashes) == dense).all()
+    assert 2 * sum(a.nbytes for a in (table.met, table.before, table.odds)) <= dense.nbytes
+    assert model.packed is None and not slices
+
+
 def test_neighbours_recall(spark):
     rows = duckdb.sql(f"SELECT vec_id, embedding FROM '{SF_SMALL}/embeddings.parquet' ORDER BY 1").fetchall()
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)

@@ -330,28 +330,70 @@ def context_tables(texts: DataFrame, tree: Tree) -> list[tuple[int, dict[int, by
     return tables
 
 
+def _slices(bits: int, slices: dict[int, bytes], drop: bool = False):
+    """(number, dense odds) of a table's compressed slices, each dropped once it is read if asked."""
+    for k in sorted(slices):
+        packed = slices.pop(k) if drop else slices[k]
+        yield k, np.frombuffer(pa.decompress(packed, 1 << (bits - SLICE_BITS), "zstd", asbytes=True), np.int8)
+
+
+class Table:
+    """A context's table as one bit a slot (met or not), the number of slots met before every 64, and
+    the log odds of those met: under half the bytes of the dense table, as few slots are met."""
+
+    def __init__(self, bits: int, slices):
+        """``slices``: (number, dense odds) in order."""
+        self.shift = np.uint32(32 - bits)  # hashes begin with the slot
+        self.met = np.zeros(1 << (bits - 6), np.uint64)
+        rows, odds = self.met.reshape(1 << SLICE_BITS, -1), [np.zeros(1, np.int8)]
+        for k, dense in slices:
+            rows[k] = np.packbits(dense != 0, bitorder="little").view(np.uint64)
+            odds.append(dense[dense != 0])
+        self.odds = np.concatenate(odds)
+        self.before = np.zeros(len(self.met), np.uint32)
+        np.cumsum(np.bitwise_count(self.met[:-1]), dtype=np.uint32, out=self.before[1:])
+
+    def take(self, hashes: np.ndarray) -> np.ndarray:
+        """Log odds times SCALE of the hashes' slots, 0 where never met."""
+        slots = hashes >> self.shift
+        place = slots >> np.uint32(6)
+        up_to = self.met.take(place) << (~slots & np.uint32(63)).astype(np.uint64)  # the slot's own bit comes first
+        odds = self.odds.take(self.before.take(place) + np.bitwise_count(up_to))
+        odds *= (up_to >> np.uint64(63)).astype(np.int8)
+        return odds
+
+
 class Model:
     """Tables, mixer weights [CONTEXTS + 1, nodes * GATES] and map [nodes, STEPS] of log odds."""
 
-    def __init__(self, tree: Tree, tables=None, packed=None):
+    def __init__(self, tree: Tree, tables=None, packed=None, compact=None):
         self.tree, self.packed = tree, packed
         if tables is not None:
             self.tables = tables
-        # hashes begin with the slot
-        bits = [b for b, _ in packed] if tables is None else [len(t).bit_length() - 1 for t in tables]
-        self.shifts = [np.uint32(32 - b) for b in bits]
+        if compact is not None:
+            self.compact = compact
         self.weights = np.full((CONTEXTS + 1, tree.nodes * GATES), 0.4 / SCALE, np.float32)
         self.weights[CONTEXTS] = 0
         self.map = np.tile(np.linspace(-8, 8, STEPS, dtype=np.float32), (tree.nodes, 1))
 
     @cached_property
     def tables(self):
-        """The dense tables, laid out where they are first used: in the tasks."""
+        """The dense tables."""
         tables = [np.zeros(1 << b, np.int8) for b, _ in self.packed]
-        for table, (b, slices) in zip(tables, self.packed):
+        for table, packed in zip(tables, self.packed):
             rows = table.reshape(1 << SLICE_BITS, -1)
-            for k, odds in slices.items():
-                rows[k] = np.frombuffer(pa.decompress(odds, rows[k].nbytes, "zstd", asbytes=True), np.int8)
+            for k, odds in _slices(*packed):
+                rows[k] = odds
+        return tables
+
+    @cached_property
+    def compact(self) -> list[Table]:
+        """The tables as they are read, laid out where they are first used: in the tasks, which then
+        drop the packed ones."""
+        if self.packed is None:
+            return [Table(len(t).bit_length() - 1, enumerate(t.reshape(1 << SLICE_BITS, -1))) for t in self.tables]
+        tables = [Table(b, _slices(b, slices, drop=True)) for b, slices in self.packed]
+        self.packed = None
         return tables
 
     def bits(self, contexts, d, s):
@@ -359,8 +401,8 @@ class Model:
         mark = self.tree.mark[d].take(s)
         gate = self.tree.gate[d].take(s)
         inputs = []
-        for c, table in enumerate(self.tables):
-            odds = table.take(_hashes(contexts[c, :len(s)], mark) >> self.shifts[c])
+        for c, table in enumerate(self.compact):
+            odds = table.take(_hashes(contexts[c, :len(s)], mark))
             gate += (odds != 0).view(np.int8) << c
             inputs.append(odds.astype(np.float32))
         return inputs, gate
@@ -447,7 +489,7 @@ def train_mixer(texts: DataFrame, model: Model) -> None:
 
     def run(batches):
         base = shared.value
-        own = Model(base.tree, base.tables)
+        own = Model(base.tree, compact=base.compact)
         count, seen = np.zeros((nodes, STEPS, 2), np.int64), np.zeros(nodes * GATES)
         for batch in batches:
             for _, symbols in _chunks(batch, 0):
