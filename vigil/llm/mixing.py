@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import heapq
 import math
-import re
 from functools import cached_property
 
 import numpy as np
@@ -55,9 +54,12 @@ SLICE_BITS = 8
 #: Steps of the map, symbols worked on at once, learning rates of mixer and text.
 STEPS = 65
 CHUNK_SYMBOLS = 400_000
-#: Decisions whose keys wait to be counted together, and counted keys of a context that a task holds.
+#: Symbols whose like occasions (contexts and symbol) are told apart together, and symbols scored at once.
+ALIKE_SYMBOLS = 3_200_000
+BLOCK_SYMBOLS = 16_384
+#: Symbols that are counted before a task looks at how many distinct (context, symbol) it holds, and most of a context.
 COUNTED_AT_ONCE = 4_000_000
-HELD_KEYS = 4_000_000
+HELD_KEYS = 1_000_000
 MIXER_RATE = 0.02
 GATES = 8  # per node: which of the contexts are known
 TEXT_RATE = 0.002
@@ -70,12 +72,13 @@ FIRST_CHECK = 64
 # Odd multipliers of the hashes; contexts and tree nodes meet in 32 bits.
 _NODE, _SLOT = np.uint32(0x85EBCA6B), np.uint32(0x9E3779B1)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_SIGN = np.uint32(1 << 31)
 
 
 def words_of(text: str) -> list[str]:
     """The text's words, A-Z in lower case."""
-    return _WORD.findall(text.encode("utf-8").lower().decode("utf-8"))
+    words = text.encode("utf-8").lower().split()
+    return b" ".join(words).decode("utf-8").split(" ") if words else []
 
 
 def symbols_of(text: str) -> np.ndarray:
@@ -115,7 +118,11 @@ class Tree:
         self.mark = self.node * _NODE
         self.gate = self.node.astype(np.int64) * GATES
         self.cell = self.node.astype(np.int64) * STEPS
-        self.sign = 2 * self.bit.astype(np.float32) - 1
+        # the paths end to end: of every decision the hashed node, its gates, the bit, and the map's cells for node and bit
+        at = np.arange(longest) < self.depth[:, None]
+        self.start = np.cumsum(self.depth, dtype=np.int64) - self.depth
+        self.path_mark, self.path_gate, self.path_bit = (a.T[at] for a in (self.mark, self.gate, self.bit))
+        self.path_cell = (self.node.T[at] * 2 + self.path_bit) * np.uint32(STEPS) | self.path_bit.astype(np.uint32) << np.uint32(31)
 
     def deepest_first(self, x):
         """The places of the symbols ``x``, those with the longest paths first."""
@@ -130,31 +137,158 @@ class Tree:
             yield d, n
 
 
-def _contexts(symbols: list[np.ndarray]):
-    """(all symbols, text number of each, place in the text, contexts [CONTEXTS, n] of 32 bits)."""
+#: Bits of a symbol in a history.
+_BITS = np.uint64(9)
+
+
+def _histories(symbols: list[np.ndarray]):
+    """(all symbols, text number of each, place in the text, history, word so far).
+
+    A history is the last five symbols plus one, 9 bits each, the last one lowest and 0
+    before the text; the word so far is a context of 32 bits.
+    """
     lengths = np.array([len(s) for s in symbols])
     x = np.concatenate(symbols)
     text = np.repeat(np.arange(len(symbols), dtype=np.int32), lengths)
     starts = np.cumsum(lengths) - lengths
-    place = np.arange(len(x), dtype=np.int64) - starts[text]
+    place = np.arange(len(x), dtype=np.int64)
+    place -= np.repeat(starts, lengths)
     value = x.astype(np.uint64) + np.uint64(1)
-    contexts = np.empty((CONTEXTS, len(x)), np.uint64)
-    run = np.zeros(len(x), np.uint64)
-    for back in range(1, max(ORDERS) + 1):
-        before = np.zeros(len(x), np.uint64)
-        before[back:] = value[:-back]
-        before[place < back] = 0  # nothing comes before a text
-        run = (run + before) * _A + _B
-        if back in ORDERS:
-            contexts[ORDERS.index(back)] = run
-    # the word so far: a polynomial hash since its first symbol, by differences of prefix sums
-    begins = (place == 0) | np.concatenate(([True], x[:-1] == 32))
-    first = np.maximum.accumulate(np.where(begins, np.arange(len(x)), 0))
-    offset = np.arange(len(x)) - first
-    powers = np.cumprod(np.full(int(offset.max()) + 2, _C, np.uint64))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((value * _B ^ value) * powers[offset])))
-    contexts[2] = (sums[:-1] - sums[first]) * _A + powers[offset]
-    return x, text, place, (contexts >> np.uint64(32)).astype(np.uint32)
+    history = np.zeros(len(x), np.uint64)
+    for back in range(max(ORDERS), 0, -1):
+        history <<= _BITS
+        history[back:] |= value[:-back]
+    for k in range(max(ORDERS)):  # nothing comes before a text
+        history[starts[lengths > k] + k] &= (np.uint64(1) << np.uint64(k) * _BITS) - np.uint64(1)
+    # a polynomial hash of the word since its first symbol, by differences of prefix sums
+    begins = place == 0
+    begins[1:] |= x[:-1] == 32
+    offset = np.arange(len(x))
+    first = np.maximum.accumulate(np.where(begins, offset, 0))
+    offset -= first
+    powers = np.cumprod(np.full(int(offset.max()) + 2, _C, np.uint64)).take(offset)
+    value = value * _B ^ value
+    value *= powers
+    sums = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(value, out=sums[1:])
+    word = sums[:-1] - sums.take(first)
+    word *= _A
+    word += powers
+    word >>= np.uint64(32)
+    return x, text, place, history, word.astype(np.uint32)
+
+
+def _context(history: np.ndarray, order: int) -> np.ndarray:
+    """The context (32 bits) of the last ``order`` symbols of the histories."""
+    run = np.zeros(len(history), np.uint64)
+    for back in range(order):
+        run += history >> np.uint64(back) * _BITS & np.uint64(511)
+        run *= _A
+        run += _B
+    return (run >> np.uint64(32)).astype(np.uint32)
+
+
+def _contexts(symbols: list[np.ndarray]):
+    """(all symbols, text number of each, place in the text, contexts [CONTEXTS, n] of 32 bits)."""
+    x, text, place, history, word = _histories(symbols)
+    return x, text, place, np.stack([*(_context(history, order) for order in ORDERS), word])
+
+
+def _alike(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, kind of every place): a place of every distinct row of the ``keys`` and which of them each row is.
+
+    Rows are sorted by hash and compared with their neighbours: a kind is never shared by
+    different rows (where hashes are equal, equal rows may be several kinds).
+    """
+    n = len(keys[0])
+    bits = np.uint64(n.bit_length())
+    order = np.empty(n, np.uint64)
+    for k in range(0, n, BLOCK_SYMBOLS):
+        hashes = np.zeros(min(BLOCK_SYMBOLS, n - k), np.uint64)
+        for key in keys:
+            hashes += key[k:k + BLOCK_SYMBOLS]
+            hashes *= _A
+            hashes ^= hashes >> np.uint64(29)
+        hashes *= _B
+        hashes >>= bits
+        hashes <<= bits
+        hashes |= np.arange(k, k + len(hashes), dtype=np.uint64)
+        order[k:k + BLOCK_SYMBOLS] = hashes
+    order.sort()
+    order &= (np.uint64(1) << bits) - np.uint64(1)
+    order = order.view(np.int64)
+    new = np.zeros(n, bool)
+    new[0] = True
+    for key in keys:
+        row = key.take(order)
+        new[1:] |= row[1:] != row[:-1]
+    kind = np.empty(n, np.int32)
+    kind[order] = np.cumsum(new, dtype=np.int32) - 1
+    return order[new], kind
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges [start, start + length), end to end."""
+    ends = np.cumsum(lengths, dtype=np.int64)
+    out = np.repeat(starts - (ends - lengths), lengths)
+    out += np.arange(len(out))
+    return out
+
+
+def _groups(symbols: list[np.ndarray]):
+    """(symbols, histories with the symbol itself lowest, words so far) of all texts."""
+
+    def parts():
+        ends = np.cumsum([len(s) for s in symbols])
+        begin = 0
+        while begin < len(symbols):
+            end = max(begin + 1, int(np.searchsorted(ends, ends[begin] - len(symbols[begin]) + BLOCK_SYMBOLS)))
+            x, _, _, history, word = _histories(symbols[begin:end])
+            history <<= _BITS
+            history |= x.astype(np.uint64)
+            yield x, history, word
+            begin = end
+
+    return (np.concatenate(a) for a in zip(*parts()))
+
+
+def _keys(history: np.ndarray, word: np.ndarray, c: int) -> np.ndarray:
+    """What tells apart (context ``c``, symbol), of histories with the symbol and words so far."""
+    if c < len(ORDERS):
+        return history & (np.uint64(1) << np.uint64(ORDERS[c] + 1) * _BITS) - np.uint64(1)
+    return word.astype(np.uint64) << _BITS | history & np.uint64(511)
+
+
+def _paths(keys: np.ndarray, c: int, tree: Tree):
+    """Blocks of the ``_keys`` of context ``c``: (place of the first, depths, places in the tree's
+    paths and hashes of their decisions, end to end)."""
+    for k in range(0, len(keys), BLOCK_SYMBOLS):
+        own = keys[k:k + BLOCK_SYMBOLS]
+        symbol, before = (own & np.uint64(511)).astype(np.intp), own >> _BITS
+        contexts = _context(before, ORDERS[c]) if c < len(ORDERS) else before.astype(np.uint32)
+        depth = tree.depth.take(symbol)
+        path = _ranges(tree.start.take(symbol), depth)
+        yield k, depth, path, _hashes(np.repeat(contexts, depth), tree.path_mark.take(path))
+
+
+class Occasions:
+    """The distinct (contexts, symbol) of some texts.
+
+    ``lengths`` are the texts' numbers of symbols, ``of`` is the occasion of each of all symbols and
+    ``symbol`` each occasion's.  Per context ``seen`` has its distinct keys and which of them each
+    occasion has.
+    """
+
+    def __init__(self, symbols: list[np.ndarray]):
+        self.lengths = np.array([len(s) for s in symbols])
+        x, history, word = _groups(symbols)
+        places, self.of = _alike(history, word)
+        history, word, self.symbol = history.take(places), word.take(places), x.take(places)
+        self.seen = []
+        for c in range(CONTEXTS):
+            keys = _keys(history, word, c)
+            some, which = _alike(keys)
+            self.seen.append((keys.take(some), which))
 
 
 def _hashes(contexts: np.ndarray, mark: np.ndarray) -> np.ndarray:
@@ -164,15 +298,15 @@ def _hashes(contexts: np.ndarray, mark: np.ndarray) -> np.ndarray:
     return hashes
 
 
-def _chunks(batches, column: int):
-    """(row numbers, symbols) of up to CHUNK_SYMBOLS, text after text."""
+def _chunks(batches, column: int, most: int):
+    """(row numbers, symbols) of about ``most`` symbols, text after text."""
     rows, symbols, size = [], [], 0
     for k, text in enumerate(batches.column(column)):
         s = symbols_of(text.as_py() or "")
         rows.append(k)
         symbols.append(s)
         size += len(s)
-        if size >= CHUNK_SYMBOLS:
+        if size >= most:
             yield rows, symbols
             rows, symbols, size = [], [], 0
     if rows:
@@ -199,10 +333,39 @@ def symbol_counts(words: DataFrame, texts: int) -> np.ndarray:
     return counts
 
 
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+def _counted(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, with their counts added, of ``both``: key and count, 32 bits each."""
+    both.sort()
+    keys = both.view(np.uint32)[1::2]
+    last = np.ones(len(both), bool)
+    np.not_equal(keys[1:], keys[:-1], out=last[:-1])
+    last = np.flatnonzero(last)
+    keys = keys[last]
+    both &= np.uint64(0xFFFFFFFF)
+    np.cumsum(both, out=both)
+    counts = both.take(last).view(np.int64)
+    counts[1:] -= counts[:-1].copy()
+    return keys, counts
+
+
+def _times(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``keys`` in order, and how often each is there; sorts ``keys``."""
+    keys.sort()
+    last = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=last[:-1])
+    last = np.flatnonzero(last)
+    return keys.take(last), np.diff(last, prepend=-1)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]], ordered: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys of all (keys, counts) in order, with their counts added."""
-    if len(parts) == 1:
+    if len(parts) == 1 and ordered:
         return parts[0]
+    if parts[0][0].itemsize == 4 and all(counts.max(initial=0) < 1 << 32 for _, counts in parts):
+        both = np.concatenate([keys for keys, _ in parts], dtype=np.uint64)
+        both <<= np.uint64(32)
+        both |= np.concatenate([counts for _, counts in parts]).view(np.uint64)
+        return _counted(both)
     keys, counts = (np.concatenate(a) for a in zip(*parts))
     order = np.argsort(keys, kind="stable")
     keys = keys.take(order)
@@ -235,22 +398,23 @@ def key_counts(texts: DataFrame, tree: Tree) -> DataFrame:
     borders = np.arange(1, 1 << SLICE_BITS, dtype=np.uint32) << np.uint32(32 - SLICE_BITS)
 
     def count(batches):
-        waiting: list[list[np.ndarray]] = [[] for _ in range(CONTEXTS)]
         held: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(CONTEXTS)]
         size = 0
 
         def settle(most):
             for c in range(CONTEXTS):
-                if waiting[c]:
-                    held[c].append(np.unique(np.concatenate(waiting[c]), return_counts=True))
-                    waiting[c].clear()
                 if sum(len(keys) for keys, _ in held[c]) <= most or not held[c]:
                     continue
                 held[c][:] = [_summed(held[c])]
-                keys, counts = held[c][0]
-                if len(keys) <= most // 2:
+                if len(held[c][0][0]) <= most // 2:
                     continue
-                held[c].clear()
+                met = []
+                every, times = held[c].pop()
+                for k, depth, path, keys in _paths(every, c, tree):
+                    keys &= np.uint32(0xFFFFFFFE)
+                    keys |= tree.path_bit.take(path)
+                    met.append((keys, np.repeat(times[k:k + len(depth)], depth)))
+                keys, counts = _summed(met, ordered=False)
                 ends = [0, *np.searchsorted(keys, borders), len(keys)]
                 some = [k for k in range(1 << SLICE_BITS) if ends[k] < ends[k + 1]]
                 packed = [_packed(keys[ends[k]:ends[k + 1]], counts[ends[k]:ends[k + 1]]) for k in some]
@@ -261,15 +425,11 @@ def key_counts(texts: DataFrame, tree: Tree) -> DataFrame:
                 ], ["slice", "n", "keys", "counts"])
 
         for batch in batches:
-            for _, symbols in _chunks(batch, 0):
-                x, _, _, contexts = _contexts(symbols)
-                order = tree.deepest_first(x)
-                s, contexts = x.take(order).astype(np.intp), contexts.take(order, axis=1)
-                for d, many in tree.layers(s):
-                    mark, bit = tree.mark[d].take(s[:many]), tree.bit[d].take(s[:many])
-                    for c in range(CONTEXTS):
-                        waiting[c].append((_hashes(contexts[c, :many], mark) & np.uint32(0xFFFFFFFE)) | bit)
-                    size += int(many)
+            for _, symbols in _chunks(batch, 0, ALIKE_SYMBOLS):
+                x, history, word = _groups(symbols)
+                for c in range(CONTEXTS):
+                    held[c].append(_times(_keys(history, word, c)))
+                size += len(x)
                 if size >= COUNTED_AT_ONCE:
                     yield from settle(HELD_KEYS)
                     size = 0
@@ -441,43 +601,82 @@ class Model:
         scaled = dot * ((STEPS - 1) / 16) + STEPS / 2
         return np.clip(scaled, 0, STEPS - 1, out=scaled).astype(np.int64)
 
+    def mixed(self, every: Occasions):
+        """(starts, depths, decisions) of the occasions; a decision is its mixed log odds and its
+        cell of the map for node and bit, the cell's highest bit set if the bit is."""
+        tree = self.tree
+        odds, begin = [], []
+        for c, (table, (keys, which)) in enumerate(zip(self.compact, every.seen)):
+            paths = [(depth, table.take(hashes)) for _, depth, _, hashes in _paths(keys, c, tree)]
+            depth, found = (np.concatenate(a) for a in zip(*paths))
+            odds.append(found)
+            begin.append((np.cumsum(depth, dtype=np.int64) - depth, which))
+        depths = tree.depth.take(every.symbol)
+        starts = np.cumsum(depths, dtype=np.int64) - depths
+        decisions = np.empty((int(depths.sum(dtype=np.int64)), 2), np.float32)
+        for k in range(0, len(depths), BLOCK_SYMBOLS):
+            own = slice(k, k + BLOCK_SYMBOLS)
+            depth = depths[own]
+            path = _ranges(tree.start.take(every.symbol[own]), depth)
+            gate = tree.path_gate.take(path)
+            inputs = []
+            for c, (first, which) in enumerate(begin):
+                value = odds[c].take(_ranges(first.take(which[own]), depth))
+                gate += (value != 0).view(np.int8) << c
+                inputs.append(value.astype(np.float32))
+            here = decisions[starts[k]:starts[k] + len(gate)]
+            here[:, 0] = self.mix(inputs, gate)
+            here.view(np.uint32)[:, 1] = tree.path_cell.take(path)
+        return starts, depths, decisions
+
     def score(self, symbols: list[np.ndarray]) -> np.ndarray:
         """The log10 probability of every text."""
-        x, text, place, contexts = _contexts(symbols)
-        n = len(symbols)
+        every = Occasions(symbols)
+        starts, depths, decisions = self.mixed(every)
+        decisions = decisions.view(np.int64).ravel()  # looked up in one
+        spots = starts << 16 | depths
+        lengths, n = every.lengths, len(symbols)
+        begins = np.cumsum(lengths) - lengths
         cost, scale = np.zeros(n), np.ones(n, np.float32)
-        level = np.zeros(len(x), np.int8)
-        border = FIRST_CHECK
-        while border <= place.max():
-            level += (place >= border).view(np.int8)
-            border *= 2
-        refined = self.map.ravel()
-        for now in range(int(level.max()) + 1):
-            part = np.flatnonzero(level == now)
-            part = part.take(self.tree.deepest_first(x.take(part)))
-            every, of, here = x.take(part).astype(np.intp), text.take(part), contexts.take(part, axis=1)
-            own, paid, pull = scale.take(of), np.zeros(len(part), np.float32), np.zeros(len(part), np.float32)
-            for d, m in self.tree.layers(every):
-                s = every[:m]
-                inputs, gate = self.bits(here, d, s)
-                sign = self.tree.sign[d].take(s)
-                mixed = self.mix(inputs, gate)
-                odds = mixed * own[:m]
-                odds += refined.take(self.tree.cell[d].take(s) + self.step(odds))
-                odds *= -0.5
-                odds *= sign
+        refined = np.stack([self.map, -self.map], 1).ravel()  # of node and bit: against the bit, halved
+        refined *= 0.5
+        low, high, longest = 0, FIRST_CHECK, int(lengths.max())
+        while low < longest:
+            some = np.flatnonzero(lengths > low)
+            many = np.minimum(lengths.take(some), high) - low
+            part, text = _ranges(begins.take(some) + low, many), np.repeat(some, many)
+            slope, bits = np.zeros(n), np.zeros(n, np.int64)
+            for k in range(0, len(part), BLOCK_SYMBOLS):
+                of, own = every.of.take(part[k:k + BLOCK_SYMBOLS]), text[k:k + BLOCK_SYMBOLS]
+                spot = spots.take(of)
+                depth = (spot & 0xFFFF).astype(np.int16)
+                spot >>= 16
+                first = np.flatnonzero(np.concatenate((np.ones(1, bool), own[1:] != own[:-1])))
+                own = own.take(first)
+                ends = np.cumsum(depth, dtype=np.int64)
+                at = ends.take(first) - depth.take(first)
+                size = np.diff(at, append=ends[-1])
+                found = decisions.take(_ranges(spot, depth))
+                mixed, cell = found.view(np.float32)[::2], found.view(np.uint32)[1::2]
+                bit = cell & _SIGN
+                against = (mixed.view(np.uint32) ^ bit ^ _SIGN).view(np.float32)  # negative: for the bit
+                odds = mixed * np.repeat(scale.take(own), size)
+                cell = (cell ^ bit).astype(np.int64)
+                cell += self.step(odds)
+                odds.view(np.uint32)[:] ^= bit
+                odds *= 0.5
+                odds += refined.take(cell)
                 # cost and slope of log(1 + exp(odds)), the odds now being against the bit
                 e = np.exp(np.clip(odds, -30, 30, out=odds), out=odds)
-                paid[:m] += np.log1p(e)
-                e /= 1 + e
-                e *= sign
-                e *= mixed
-                pull[:m] += e
-            cost -= np.bincount(of, paid, n)
-            slope = np.bincount(of, pull, n)
-            bits = np.bincount(of, self.tree.depth.take(every), n)
+                paid = np.log1p(e)
+                e /= e + 1
+                e *= against
+                cost[own] -= np.add.reduceat(paid, at, dtype=np.float64)
+                slope[own] += np.add.reduceat(e, at, dtype=np.float64)
+                bits[own] += size
             scale += np.minimum(TEXT_RATE, 0.25 / np.maximum(bits, 1)) * slope
             np.clip(scale, 0.5, 2, out=scale)
+            low, high = high, 2 * high
         return cost / math.log(10)
 
 
@@ -492,7 +691,7 @@ def train_mixer(texts: DataFrame, model: Model) -> None:
         own = Model(base.tree, compact=base.compact)
         count, seen = np.zeros((nodes, STEPS, 2), np.int64), np.zeros(nodes * GATES)
         for batch in batches:
-            for _, symbols in _chunks(batch, 0):
+            for _, symbols in _chunks(batch, 0, CHUNK_SYMBOLS):
                 x, _, _, contexts = _contexts(symbols)
                 own.learn(x, contexts, count, seen)
         by_node = lambda a: pa.array(list(a.reshape(nodes, -1).astype(np.float64)))
@@ -562,7 +761,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 
     def extra(batch):
         scores = np.zeros(batch.num_rows)
-        for rows, symbols in _chunks(batch, 2):
+        for rows, symbols in _chunks(batch, 2, ALIKE_SYMBOLS):
             scores[rows] = shared.value.score(symbols)
         return scores
 
