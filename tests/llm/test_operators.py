@@ -259,6 +259,58 @@ def test_tables_grow_with_the_keys(spark, monkeypatch):
     assert 0.85 * n_keys < met <= n_keys and met < 0.25 * len(model.tables[1])
 
 
+def test_like_occasions_are_told_apart_and_looked_up_once():
+    """Texts that say the same over and over: every distinct (contexts, symbol) is mixed once, with the
+    contexts of each place, and the scores are those of a decision-by-decision reckoning."""
+    rng = np.random.default_rng(8)
+    words = ["the", "then", "thé", "cat", "a", "catalogue", "x" * 70]
+    texts = [mixing.symbols_of(" ".join(rng.choice(words, rng.integers(0, 60)))) for _ in range(300)]
+    tree = mixing.Tree(np.bincount(np.concatenate(texts), minlength=mixing.SYMBOLS))
+    model = mixing.Model(tree, [rng.integers(-90, 90, 1 << mixing.SLOT_BITS).astype(np.int8) * rng.integers(0, 2, 1 << mixing.SLOT_BITS, dtype=np.int8)
+                                for _ in range(mixing.CONTEXTS)])
+    model.map += rng.normal(0, 0.3, model.map.shape).astype(np.float32)
+    looked_up = []
+    take, model.compact = mixing.Table.take, list(model.compact)
+    for table in model.compact:
+        table.take = lambda hashes, own=table: looked_up.append(len(hashes)) or take(own, hashes)
+    scores = model.score(texts)
+    assert 10 * sum(looked_up) < mixing.CONTEXTS * sum(int(tree.depth.take(t).sum()) for t in texts)
+    every = mixing.Occasions(texts)
+    x, _, _, contexts = mixing._contexts(texts)
+    assert len(every.of) == len(x) and (every.symbol.take(every.of) == x).all()
+    assert len(every.symbol) == len(set(zip(x.tolist(), *contexts.tolist())))
+    for text, got in list(zip(texts, scores))[::15]:
+        x, _, _, contexts = mixing._contexts([text])
+        cost, scale, slope, bits = 0.0, np.float32(1), 0.0, 0
+        for k, s in enumerate(x):
+            if k >= mixing.FIRST_CHECK and k & (k - 1) == 0:
+                scale = np.float32(np.clip(scale + min(mixing.TEXT_RATE, 0.25 / bits) * slope, 0.5, 2))
+                slope, bits = 0.0, 0
+            for d in range(tree.depth[s]):
+                inputs, gate = model.bits(contexts[:, k:k + 1], d, np.array([s]))
+                mixed = model.mix(inputs, gate)
+                odds = mixed * scale
+                odds = odds + model.map[tree.node[d, s]].take(model.step(odds.copy()))
+                sign = 2 * int(tree.bit[d, s]) - 1
+                against = float(np.exp(np.clip(-sign * odds / 2, -30, 30))[0])
+                cost -= math.log1p(against)
+                slope += against / (1 + against) * sign * float(mixed[0])
+                bits += 1
+        assert got == pytest.approx(cost / math.log(10), rel=1e-4)
+
+
+def test_counts_of_like_occasions_are_added():
+    """Keys and counts handed on equal a count of every decision by itself."""
+    keys = np.array([7, 3, 7, 2**32 - 1, 3, 3], np.uint32)
+    counts = np.array([1, 2, 3, 4, 5, 2**33])
+    for n in (5, 6):  # counts below and over 32 bits
+        got = mixing._summed([(keys[:2], counts[:2]), (keys[2:n], counts[2:n])])
+        want = collections.Counter()
+        for k, c in zip(keys[:n].tolist(), counts[:n].tolist()):
+            want[k] += c
+        assert [a.tolist() for a in got] == [list(a) for a in zip(*sorted(want.items()))]
+
+
 def test_decisions_are_a_probability():
     """Over all continuations of a prefix the model's probabilities sum to one."""
     texts = [mixing.symbols_of(t) for t in ("the cat", "the dog and the cat", "a cat")]

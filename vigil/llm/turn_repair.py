@@ -58,15 +58,15 @@ _WHITE = " \t\n\x0b\f\r"
 class Audits:
     """A growing tree of audits; node 0 is the empty one.
 
-    A node at depth d keeps its ancestors at the distances 1, 2, 4, ... that divide d (two a
-    node on average): ancestors of any depth, and the first difference of two audits, are
-    found in logarithmic time.
+    A node keeps its parent and one ancestor farther up, at a distance that follows from its
+    depth alone (two equal leaps in a row are joined with a step into one): ancestors of any
+    depth, and the first difference of two audits, are found in logarithmic time.
     """
 
     def __init__(self, prime: int = _PRIME):
         self.prime = prime
         self.depth, self.hash, self.letter = array("q", [0]), array("Q", [0]), bytearray(b"\0")
-        self.ups, self.at = array("q"), array("q", [0])
+        self.ups = array("q")  # parent and far ancestor of the nodes 1, 2, ...
         self.same: dict[int, int] = {}  # nodes found to spell the same audit: the lesser of them
 
     def add(self, parent: int, letter: str) -> int:
@@ -74,22 +74,25 @@ class Audits:
         self.depth.append(depth)
         self.hash.append((self.hash[parent] * _BASE + code) % self.prime)
         self.letter.append(code)
-        self.at.append(len(self.ups))
-        up, span = parent, 1
-        self.ups.append(up)
-        while depth % (2 * span) == 0:
-            up = self.up(up, span)
-            span *= 2
-            self.ups.append(up)
+        far, leap = parent, self._far(parent)
+        if leap and self.depth[parent] - self.depth[leap] == self.depth[leap] - self.depth[self._far(leap)]:
+            far = self._far(leap)
+        self.ups.append(parent)
+        self.ups.append(far)
         return len(self.letter) - 1
 
+    def _parent(self, node: int) -> int:
+        return self.ups[2 * node - 2] if node else 0
+
+    def _far(self, node: int) -> int:
+        return self.ups[2 * node - 1] if node else 0
+
     def up(self, node: int, steps: int) -> int:
         """The ancestor ``steps`` above."""
-        while steps:
-            depth = self.depth[node]
-            k = min((depth & -depth).bit_length(), steps.bit_length()) - 1
-            node = self.ups[self.at[node] + k]
-            steps -= 1 << k
+        depth = self.depth[node] - steps
+        while self.depth[node] > depth:
+            far = self._far(node)
+            node = far if self.depth[far] >= depth else self._parent(node)
         return node
 
     def _known(self, node: int) -> int:
@@ -106,7 +109,7 @@ class Audits:
             seen.append((max(a, b), min(a, b)))
             if self.letter[a] != self.letter[b]:
                 differ, seen = (a, b), []
-            a, b = self._known(self.ups[self.at[a]]), self._known(self.ups[self.at[b]])
+            a, b = self._known(self._parent(a)), self._known(self._parent(b))
         if differ is None:
             self.same.update(seen)
         return differ
@@ -121,32 +124,22 @@ class Audits:
             x, y = differ
         else:
             # climb while the ancestors differ: the last such pair has equal parents
-            k = 62
             while True:
-                depth = self.depth[x]
-                k = min(k, (depth & -depth).bit_length() - 1)
-                while k >= 0:
-                    p, q = self.ups[self.at[x] + k], self.ups[self.at[y] + k]
-                    if p != q and self.hash[p] != self.hash[q]:
+                p, q = self._far(x), self._far(y)
+                if p == q or self.hash[p] == self.hash[q]:
+                    p, q = self._parent(x), self._parent(y)
+                    if p == q or self.hash[p] == self.hash[q]:
                         break
-                    k -= 1
-                if k < 0:
-                    break
-                x, y, k = p, q, 62 if self._rises(p, k) else k - 1
-            p, q = self.ups[self.at[x]], self.ups[self.at[y]]
+                x, y = p, q
             if p != q and (differ := self._verified(p, q)):
                 x, y = differ
         return -1 if self.letter[x] < self.letter[y] else 1
 
-    def _rises(self, node: int, k: int) -> bool:
-        """Whether the node's depth is a multiple of a larger power of two than the step that led to it."""
-        return self.depth[node] % (2 << k) == 0
-
     def text(self, node: int) -> str:
         out = bytearray()
         while node:
             out.append(self.letter[node])
-            node = self.ups[self.at[node]]
+            node = self._parent(node)
         return out[::-1].decode()
 
 
