@@ -15,7 +15,9 @@ Huffman tree of the training symbols, and every decision (bit) is predicted:
    corrected online along the gradient of the coding cost, at symbol 64, 128, ...
 
 Tasks count their own documents by (context, tree node), hand the counts on when
-they hold many, and these are added slice by slice.  The number of distinct keys
+they hold many, and these are added slice by slice.  Symbols are grouped by
+occasion first (the same contexts and symbol): what happens again among some millions of
+symbols is looked up, mixed and counted once.  The number of distinct keys
 found sizes each context's table: at most one slot in SPARE is filled, so that the
 tables, and the memory they take, grow with the training text.  The documents that are learned from are split:
 most fill the tables, the rest teach the mixer and the map, as predictions of
@@ -235,21 +237,19 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
-def _groups(symbols: list[np.ndarray]):
-    """(symbols, histories with the symbol itself lowest, words so far) of all texts."""
-
-    def parts():
-        ends = np.cumsum([len(s) for s in symbols])
-        begin = 0
-        while begin < len(symbols):
-            end = max(begin + 1, int(np.searchsorted(ends, ends[begin] - len(symbols[begin]) + BLOCK_SYMBOLS)))
-            x, _, _, history, word = _histories(symbols[begin:end])
-            history <<= _BITS
-            history |= x.astype(np.uint64)
-            yield x, history, word
-            begin = end
-
-    return (np.concatenate(a) for a in zip(*parts()))
+def _groups(symbols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, histories with the symbol itself lowest, words so far) of all texts, made some texts at a time."""
+    ends = np.cumsum([len(s) for s in symbols])
+    every, histories, words = (np.empty(ends[-1], kind) for kind in (np.int16, np.uint64, np.uint32))
+    begin = done = 0
+    while begin < len(symbols):
+        end = max(begin + 1, int(np.searchsorted(ends, done + BLOCK_SYMBOLS)))
+        x, _, _, history, word = _histories(symbols[begin:end])
+        here = slice(done, done + len(x))
+        every[here], words[here] = x, word
+        histories[here] = history << _BITS | x.astype(np.uint64)
+        begin, done = end, here.stop
+    return every, histories, words
 
 
 def _keys(history: np.ndarray, word: np.ndarray, c: int) -> np.ndarray:
@@ -651,16 +651,15 @@ class Model:
                 spot = spots.take(of)
                 depth = (spot & 0xFFFF).astype(np.int16)
                 spot >>= 16
-                first = np.flatnonzero(np.concatenate((np.ones(1, bool), own[1:] != own[:-1])))
-                own = own.take(first)
-                ends = np.cumsum(depth, dtype=np.int64)
-                at = ends.take(first) - depth.take(first)
-                size = np.diff(at, append=ends[-1])
-                found = decisions.take(_ranges(spot, depth))
+                symbol = np.repeat(np.arange(len(of)), depth)
+                spot -= np.cumsum(depth, dtype=np.int64) - depth
+                at = spot.take(symbol)
+                at += np.arange(len(at))
+                found = decisions.take(at)
                 mixed, cell = found.view(np.float32)[::2], found.view(np.uint32)[1::2]
                 bit = cell & _SIGN
                 against = (mixed.view(np.uint32) ^ bit ^ _SIGN).view(np.float32)  # negative: for the bit
-                odds = mixed * np.repeat(scale.take(own), size)
+                odds = mixed * scale.take(own).take(symbol)
                 cell = (cell ^ bit).astype(np.int64)
                 cell += self.step(odds)
                 odds.view(np.uint32)[:] ^= bit
@@ -668,12 +667,16 @@ class Model:
                 odds += refined.take(cell)
                 # cost and slope of log(1 + exp(odds)), the odds now being against the bit
                 e = np.exp(np.clip(odds, -30, 30, out=odds), out=odds)
-                paid = np.log1p(e)
+                paid, pull = np.zeros(len(of), np.float32), np.zeros(len(of), np.float32)
+                np.add.at(paid, symbol, np.log1p(e))
                 e /= e + 1
                 e *= against
-                cost[own] -= np.add.reduceat(paid, at, dtype=np.float64)
-                slope[own] += np.add.reduceat(e, at, dtype=np.float64)
-                bits[own] += size
+                np.add.at(pull, symbol, e)
+                first = np.flatnonzero(np.concatenate((np.ones(1, bool), own[1:] != own[:-1])))
+                own = own.take(first)
+                cost[own] -= np.add.reduceat(paid, first, dtype=np.float64)
+                slope[own] += np.add.reduceat(pull, first, dtype=np.float64)
+                bits[own] += np.add.reduceat(depth, first, dtype=np.int64)
             scale += np.minimum(TEXT_RATE, 0.25 / np.maximum(bits, 1)) * slope
             np.clip(scale, 0.5, 2, out=scale)
             low, high = high, 2 * high
